@@ -27,31 +27,40 @@ DISEASE = "Brand#11"
 BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 
 
+# The columns in use, so that no job has to look the types up in the files.
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
+    ),
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation and year of each order."""
+    """Nation key and year of each order."""
+    customer = _table(spark, sf_dir, "customer")
     return (
         _table(spark, sf_dir, "orders")
-        .join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "o_orderkey",
-            F.col("n_name").alias("County"),
-            F.year("o_orderdate").alias("Year"),
-        )
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "c_nationkey", F.year("o_orderdate").alias("Year"))
     )
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with brand, nation and year."""
+    """Line items with brand, nation key and year."""
     return (
         _table(spark, sf_dir, "lineitem")
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(order_places(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumn("Disease", F.col("p_brand"))
+        .withColumnRenamed("p_brand", "Disease")
         .withColumn(
             "Sex",
             F.when(F.col("l_returnflag") == "A", "Male")
@@ -62,16 +71,18 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def populations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name and population of each nation."""
     customers = (
         _table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey")
+        .groupBy(F.col("c_nationkey").alias("n_nationkey"))
         .agg(F.count("c_custkey").alias("customers"))
     )
     nation = F.col("n_nationkey")
     return (
         _table(spark, sf_dir, "nation")
-        .join(customers, F.col("c_nationkey") == nation, "left")
+        .join(customers, "n_nationkey", "left")
         .select(
+            "n_nationkey",
             F.col("n_name").alias("County"),
             F.when(nation == ZERO_POPULATION_NATION, F.lit(0).cast("bigint"))
             .when(nation != NO_POPULATION_NATION, F.coalesce("customers", F.lit(0)) * 1000)
@@ -81,13 +92,18 @@ def populations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def county_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ("Disease", "County", "Year", "Sex")
-    return (
+    """One row per disease, county, year and sex.
+
+    Names and populations of the nations are joined to the groups, not to the
+    line items: the wide shuffles carry the integer key only.
+    """
+    groups = (
         line_items(spark, sf_dir)
-        .groupBy(*keys)
+        .groupBy("Disease", F.col("c_nationkey").alias("n_nationkey"), "Year", "Sex")
         .agg(F.sum("l_quantity").cast("bigint").alias("Count"))
-        .join(populations(spark, sf_dir), "County")
-        .select(*keys, "Count", "Population")
+    )
+    return groups.join(populations(spark, sf_dir), "n_nationkey").select(
+        "Disease", "County", "Year", "Sex", "Count", "Population"
     )
 
 
@@ -142,7 +158,10 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(col):
         return col.cast("string")
 
-    return line_items(spark, sf_dir).select(
+    places = _table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("County")
+    )
+    return line_items(spark, sf_dir).join(places, "c_nationkey").select(
         text(F.col("l_orderkey") * 10 + line).alias("_c0"),
         "Disease",
         F.when(line == 6, F.lit(STATE)).when(line != 5, F.col("County")).alias("County"),
