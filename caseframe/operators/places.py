@@ -103,11 +103,14 @@ def map_layer(df: DataFrame, coordinates: DataFrame) -> DataFrame:
     """One row per county on the map, with bar height and colour.
 
     Both are relative to the highest mean rate on the map, which a scalar
-    subquery supplies to all tasks; it reuses the grouping's shuffle.
+    subquery supplies to all tasks. It picks the whole county row, and so needs
+    the very columns of the grouping: Spark then reuses the grouping's shuffle
+    and reads the input once.
     """
     placed = with_coordinates(county_means(df), coordinates)
-    highest = placed.agg(F.max("Mean_Rate")).scalar()
-    share = share_of_maximum(F.col("Mean_Rate"), highest)
+    measures = F.struct("Total_Count", "Mean_Rate", "Population")
+    highest = placed.agg(F.max_by(measures, "Mean_Rate")).scalar()
+    share = share_of_maximum(F.col("Mean_Rate"), highest["Mean_Rate"])
     return (
         placed.withColumn("share", share)
         .withColumns(

@@ -1,0 +1,47 @@
+"""Every registered query against its SQL; the trained ones by their properties."""
+
+import pytest
+
+import __spark_entry__ as contract
+from checks.compare import differences, duck
+from tests.conftest import TESTDATA
+
+ORACLES = contract.oracle_sql()
+QUERIES = contract.queries()
+TRAINED = {"rf_predictions", "rf_metrics", "forecast_scores"}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return duck(f"{TESTDATA}/sf0.001")
+
+
+def test_only_trained_queries_have_no_sql():
+    assert set(QUERIES) - set(ORACLES) == TRAINED
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, connection, name):
+    df = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+    assert differences(df, connection, ORACLES[name]) == []
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["Disease", "Total_Cases", "Avg_Prevalence_Rate"]
+    assert df.count() == 15
+
+
+def test_trained_queries(spark):
+    folder = f"{TESTDATA}/sf0.001"
+    predictions = QUERIES["rf_predictions"](spark, folder)
+    test_rows = QUERIES["clean_rates"](spark, folder).filter("Year >= 2000")
+    assert predictions.count() == test_rows.count()
+    wrong = "(Predicted_Rate IS NULL) <> (Population IS NULL) OR Predicted_Rate < 0"
+    assert predictions.filter(wrong).count() == 0
+    (metrics,) = QUERIES["rf_metrics"](spark, folder).collect()
+    assert metrics["n_rows"] == predictions.filter("Population IS NOT NULL").count()
+    scores = QUERIES["forecast_scores"](spark, folder)
+    assert scores.count() == 25 * 25 * 5
+    assert scores.filter("(Predicted_Rate IS NULL) <> (Population IS NULL)").count() == 0
