@@ -10,7 +10,7 @@ from caseframe.sources.readers import (
     read_raw,
     read_rows,
 )
-from caseframe.sources.working import materialise
+from caseframe.sources.working import materialise, new_path
 from caseframe.sources.writers import (
     write_clean,
     write_csv,
@@ -22,6 +22,7 @@ __all__ = [
     "load_uncleaned",
     "load_uncleaned_predictions",
     "materialise",
+    "new_path",
     "read_clean_csv",
     "read_model",
     "read_parquet",

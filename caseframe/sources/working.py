@@ -33,9 +33,13 @@ def working_dir(spark: SparkSession) -> str:
     return _local[context.applicationId]
 
 
+def new_path(spark: SparkSession) -> str:
+    return f"{working_dir(spark)}/caseframe-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the working folder and return the written table."""
     spark = df.sparkSession
-    path = f"{working_dir(spark)}/caseframe-{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

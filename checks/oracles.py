@@ -60,8 +60,12 @@ f AS (SELECT *, {_RATE} AS Recalculated_Rate FROM both_levels),
 V AS (SELECT * FROM f WHERE County <> 'California')"""
 
 _BRAND_NUMBER = "CAST(substr(Disease, 7) AS INTEGER)"
-_BANDED = f"""{_CASES},
-guess AS (SELECT *, Recalculated_Rate * ({_BRAND_NUMBER} % 5) / 20 - 1 AS prediction FROM V),
+
+
+def _banded(source):
+    return f"""
+guess AS (
+  SELECT *, Recalculated_Rate * ({_BRAND_NUMBER} % 5) / 20 - 1 AS prediction FROM {source}),
 rounded AS (
   SELECT *, CASE WHEN prediction < 0 THEN CAST(0 AS DOUBLE)
                  ELSE {_round("prediction", 2)} END AS Predicted_Rate FROM guess),
@@ -72,6 +76,9 @@ banded AS (
               ELSE 'Haute Priorite' END AS Priority_Level
   FROM rounded)"""
 
+
+_BANDED = f"{_CASES}, {_banded('V')}"
+
 _RISK = f"""{_BANDED},
 risk_means AS (
   SELECT Disease, Year, County, avg(Predicted_Rate) AS mean_predicted,
@@ -100,6 +107,14 @@ raw AS (
          CASE WHEN l_linenumber <> 4 THEN l_tax END AS CI_upper
   FROM lines)"""
 
+_CLEANED = f"""{_RAW},
+filled AS (
+  SELECT Id, Disease, County, Year, Sex, coalesce(Count, 0) AS Count, Population,
+         coalesce(Rate, 0) AS Rate, coalesce(CI_lower, 0) AS CI_lower,
+         coalesce(CI_upper, 0) AS CI_upper
+  FROM raw),
+cleaned AS (SELECT *, {_RATE} AS Recalculated_Rate FROM filled)"""
+
 _GRID_BRANDS = ", ".join(f"('{brand}')" for brand in BRANDS)
 _GRID = f"""
 grid AS (
@@ -124,13 +139,12 @@ def _chart(key):
 _E, _L = (f"Cases_{first}_{last}" for first, last in (EARLY, LATE))
 
 ORACLES = {
-    "clean_table": f"""{_RAW},
-filled AS (
-  SELECT Id, Disease, County, Year, Sex, coalesce(Count, 0) AS Count, Population,
-         coalesce(Rate, 0) AS Rate, coalesce(CI_lower, 0) AS CI_lower,
-         coalesce(CI_upper, 0) AS CI_upper
-  FROM raw)
-SELECT *, {_RATE} AS Recalculated_Rate FROM filled""",
+    "preprocess": f"""{_CLEANED}
+SELECT *, CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset
+FROM cleaned WHERE County <> 'California'""",
+    "predictions_csv": f"""{_CLEANED}, {_banded("cleaned")}
+SELECT * EXCLUDE (Rate, CI_lower, CI_upper) FROM banded WHERE County <> 'California'""",
+    "clean_table": f"{_CLEANED} SELECT * FROM cleaned",
     "clean_rates": f"{_CASES} SELECT * FROM V",
     "raw_row_report": f"""{_RAW}
 SELECT CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset,

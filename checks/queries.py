@@ -20,7 +20,16 @@ from caseframe.operators.forecast import (
     with_prediction,
 )
 from caseframe.operators.places import map_layer
-from caseframe.sources import load_uncleaned, load_uncleaned_predictions, materialise
+from caseframe.plans.preprocess import preprocess as preprocess_stage
+from caseframe.sources import (
+    load_uncleaned,
+    load_uncleaned_predictions,
+    materialise,
+    new_path,
+    read_predictions_csv,
+    read_rows,
+    write_predictions,
+)
 from checks import tables
 from checks.tables import BRANDS, DISEASE, EARLY, LATE, county_rows, halves
 
@@ -37,6 +46,34 @@ def _banded(rows: DataFrame) -> DataFrame:
     return risk.band_predictions(tables.with_stand_in(rows))
 
 
+# Sources, sinks and stages
+
+
+def _raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    in_test = F.col("Year").cast("int") >= tables.FIRST_TEST_YEAR
+    return tables.raw_rows(spark, sf_dir).withColumn(
+        "dataset", F.when(in_test, "test").otherwise("train")
+    )
+
+
+def preprocess(spark, sf_dir):
+    """Raw text as CSV files, through the whole stage, and back from its parquet."""
+    raw, out = new_path(spark), new_path(spark)
+    _raw_sets(spark, sf_dir).write.partitionBy("dataset").option("header", True).csv(raw)
+    preprocess_stage(spark, f"{raw}/dataset=train", f"{raw}/dataset=test", out)
+    return selection.union_sets(
+        read_rows(spark, f"{out}/parquet/train"), read_rows(spark, f"{out}/parquet/test")
+    )
+
+
+def predictions_csv(spark, sf_dir):
+    """Banded rows written as the predictions file and read back."""
+    path = new_path(spark)
+    rows, _ = cleaning.split_county_state(clean_table(spark, sf_dir))
+    write_predictions(_banded(rows), path)
+    return read_predictions_csv(spark, path)
+
+
 # Cleaning and projections
 
 
@@ -49,10 +86,7 @@ def clean_rates(spark, sf_dir):
 
 
 def raw_row_report(spark, sf_dir):
-    rows = tables.raw_rows(spark, sf_dir)
-    in_test = F.col("Year").cast("int") >= tables.FIRST_TEST_YEAR
-    labelled = rows.withColumn("dataset", F.when(in_test, "test").otherwise("train"))
-    return cleaning.row_report(labelled)
+    return cleaning.row_report(_raw_sets(spark, sf_dir))
 
 
 def split_counts(spark, sf_dir):
@@ -240,6 +274,8 @@ def forecast_scores(spark, sf_dir):
 
 
 QUERIES = {
+    "preprocess": preprocess,
+    "predictions_csv": predictions_csv,
     "clean_table": clean_table,
     "clean_rates": clean_rates,
     "raw_row_report": raw_row_report,
