@@ -118,3 +118,12 @@ def test_missing_file_and_missing_column_are_told(spark, tmp_path):
 def test_no_value_of_the_cleaned_table_is_nan(cleaned):
     for row in cleaned.collect():
         assert not any(isinstance(v, float) and math.isnan(v) for v in row)
+
+
+def test_same_rows_without_ansi_mode(spark, raw, cleaned):
+    expected = sorted(rows(cleaned), key=str)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert sorted(rows(clean(raw)), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

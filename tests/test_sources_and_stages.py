@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseframe.operators.cleaning import clean, split_county_state
+from caseframe.plans.load import load_tables
 from caseframe.plans.preprocess import preprocess
 from caseframe.plans.screens import county_map, interventions, overview, trends
 from caseframe.plans.train import train_and_score
@@ -171,6 +172,18 @@ def test_uncleaned_rows_serve_the_screens(spark, many_raw):
     assert figures["Avg_Rate"] == 1.5
 
 
+def test_load_prefers_the_stages_and_falls_back_to_raw(spark, stage, many_raw, tmp_path):
+    raw = f"{many_raw}/train.csv", f"{many_raw}/test.csv"
+    train, test, predicted = load_tables(spark, str(tmp_path), *raw)
+    # rows without a county stay in the fallback
+    assert (train.count(), test.count(), predicted.count()) == (7 * 24, 2 * 24, 2 * 24)
+    assert {r[0] for r in predicted.select("Predicted_Rate").distinct().collect()} == {1.5}
+    out, _ = stage
+    train_and_score(spark, out, out)
+    train, test, predicted = load_tables(spark, out, *raw)
+    assert (train.count(), test.count(), predicted.count()) == (7 * 18, 2 * 18, 2 * 18)
+
+
 def test_working_folder_is_the_cluster_setting(spark):
     assert working.working_dir(spark) == spark.conf.get(working.SETTING)
 
