@@ -18,10 +18,11 @@ _local: dict[str, str] = {}
 
 
 def working_dir(spark: SparkSession) -> str:
-    configured = spark.conf.get(SETTING, None)
+    """The folder named in the session, or a temporary one on a local master only."""
+    context = spark.sparkContext
+    configured = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(
             f"set {SETTING} to a folder that the driver and all executors share"
@@ -29,7 +30,7 @@ def working_dir(spark: SparkSession) -> str:
     if context.applicationId not in _local:
         path = tempfile.mkdtemp(prefix="caseframe-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
-        _local[context.applicationId] = path
+        _local[context.applicationId] = f"file://{path}"
     return _local[context.applicationId]
 
 

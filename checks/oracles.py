@@ -175,6 +175,9 @@ FROM (SELECT max(Year) AS last FROM V WHERE Year < {FIRST_TEST_YEAR}), range(1,
     "preview": f"{_CASES} SELECT * FROM V ORDER BY Disease, County, Year, Sex LIMIT 100",
     "top_diseases": f"""{_CASES} {_totals("Disease", "Avg_Prevalence_Rate")}
 ORDER BY Total_Cases DESC, Disease LIMIT 15""",
+    "top_diseases_two_sexes": f"""{_CASES}
+{_totals("Disease", "Avg_Prevalence_Rate", "Sex IN ('Male', 'Female')")}
+ORDER BY Total_Cases DESC, Disease LIMIT 10""",
     "yearly_trends": f"{_CASES} {_totals('Year')}",
     "yearly_trends_one": _CASES + _totals("Year", where=f"Disease = '{DISEASE}'"),
     "sex_distribution": f"""{_CASES},
@@ -198,6 +201,14 @@ SELECT CAST(sum(Count) AS BIGINT) AS Total_Cases,
        (SELECT County FROM V GROUP BY County ORDER BY sum(Count) DESC, County LIMIT 1) AS Top_County,
        (SELECT Disease FROM V GROUP BY Disease ORDER BY sum(Count) DESC, Disease LIMIT 1) AS Top_Disease
 FROM V""",
+    "key_figures_one": f"""{_CASES},
+chosen AS (SELECT * FROM V WHERE Disease = '{DISEASE}' AND Year BETWEEN {LATE[0]} AND {LATE[1]})
+SELECT CAST(sum(Count) AS BIGINT) AS Total_Cases,
+       {_round("avg(Recalculated_Rate)", 6)} AS Avg_Rate,
+       (SELECT County FROM chosen GROUP BY County ORDER BY sum(Count) DESC, County LIMIT 1)
+         AS Top_County,
+       '{DISEASE}' AS Top_Disease
+FROM chosen""",
     "max_rate_row": f"""{_CASES} SELECT * FROM V
 ORDER BY Recalculated_Rate DESC, Disease, County, Year, Sex LIMIT 1""",
     "disease_chart": f"{_CASES} {_chart('Disease')} ORDER BY Cas_Totaux DESC, Disease LIMIT 10",
@@ -234,6 +245,13 @@ SELECT County, Total_Count, {_round("mean_rate", 6)} AS Mean_Rate,
        50 AS blue, 180 AS alpha
 FROM shares""",
     "priority_bands": f"{_BANDED} SELECT * FROM banded",
+    "stand_in_metrics": f"""{_CASES},
+guess AS (SELECT Recalculated_Rate AS y,
+                 Recalculated_Rate * ({_BRAND_NUMBER} % 5) / 20 - 1 AS p FROM V),
+center AS (SELECT avg(y) AS mean_y FROM guess)
+SELECT count(*) AS n_rows, {_round("sqrt(avg((y - p) * (y - p)))", 6)} AS rmse,
+       {_round("1 - sum((y - p) * (y - p)) / sum((y - mean_y) * (y - mean_y))", 6)} AS r2
+FROM guess, center""",
     "county_risk": f"{_RISK} SELECT * FROM risk",
     "risk_ranking": f"""{_RISK}
 SELECT Disease, Year, County, Observed_Rate, Predicted_Rate, Priority_Level FROM risk""",

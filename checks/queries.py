@@ -21,6 +21,7 @@ from caseframe.operators.forecast import (
 )
 from caseframe.operators.places import map_layer
 from caseframe.plans.preprocess import preprocess as preprocess_stage
+from caseframe.schema import SEXES
 from caseframe.sources import (
     load_uncleaned,
     load_uncleaned_predictions,
@@ -139,6 +140,10 @@ def top_diseases(spark, sf_dir):
     return rankings.top_diseases(county_rows(spark, sf_dir))
 
 
+def top_diseases_two_sexes(spark, sf_dir):
+    return rankings.top_diseases(county_rows(spark, sf_dir), limit=10, sexes=SEXES)
+
+
 def yearly_trends(spark, sf_dir):
     return rankings.yearly_trends(county_rows(spark, sf_dir))
 
@@ -166,6 +171,11 @@ def key_figures(spark, sf_dir):
     return _rounded(overview.key_figures(county_rows(spark, sf_dir)), "Avg_Rate")
 
 
+def key_figures_one(spark, sf_dir):
+    rows = selection.apply_filters(county_rows(spark, sf_dir), DISEASE, years=LATE)
+    return _rounded(overview.key_figures(rows, DISEASE), "Avg_Rate")
+
+
 def max_rate_row(spark, sf_dir):
     return overview.max_rate_row(county_rows(spark, sf_dir))
 
@@ -204,6 +214,11 @@ def priority_bands(spark, sf_dir):
     return _banded(county_rows(spark, sf_dir)).drop("prediction")
 
 
+def stand_in_metrics(spark, sf_dir):
+    """Error figures of the stand-in prediction, which SQL can tell as well."""
+    return _rounded(evaluate(tables.with_stand_in(county_rows(spark, sf_dir))), "rmse", "r2")
+
+
 def _rounded_risk(rows: DataFrame) -> DataFrame:
     return _rounded(rows, "Predicted_Rate", "Population", "Observed_Rate")
 
@@ -289,12 +304,14 @@ QUERIES = {
     "year_options": year_options,
     "preview": preview,
     "top_diseases": top_diseases,
+    "top_diseases_two_sexes": top_diseases_two_sexes,
     "yearly_trends": yearly_trends,
     "yearly_trends_one": yearly_trends_one,
     "sex_distribution": sex_distribution,
     "county_hotspots": county_hotspots,
     "disease_growth": disease_growth,
     "key_figures": key_figures,
+    "key_figures_one": key_figures_one,
     "max_rate_row": max_rate_row,
     "disease_chart": disease_chart,
     "sex_chart": sex_chart,
@@ -302,6 +319,7 @@ QUERIES = {
     "year_growth": year_growth,
     "map_layer": map_points,
     "priority_bands": priority_bands,
+    "stand_in_metrics": stand_in_metrics,
     "county_risk": county_risk,
     "risk_ranking": risk_ranking,
     "priority_counts": priority_counts,
