@@ -71,8 +71,14 @@ COUNTY_CENTRES = [
 
 
 def county_centres(spark: SparkSession) -> DataFrame:
-    """The fixed table above; its 58 rows may always be broadcast."""
-    return F.broadcast(spark.createDataFrame(COUNTY_CENTRES, COORDINATES))
+    """The fixed table above; its 58 rows may always be broadcast.
+
+    Written as SQL values, the rows are part of the plan and need no Python
+    worker to unpack them.
+    """
+    values = ", ".join(f"('{name}', {lat}D, {lon}D)" for name, lat, lon in COUNTY_CENTRES)
+    names = ", ".join(COORDINATES.names)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS centres({names})"))
 
 
 def with_coordinates(df: DataFrame, coordinates: DataFrame) -> DataFrame:

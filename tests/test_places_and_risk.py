@@ -9,8 +9,11 @@ from tests.conftest import rows
 MAP = "County string, Count int, Recalculated_Rate double, Population int"
 
 
-def test_centres():
+def test_centres(spark):
     assert len(COUNTY_CENTRES) == len({name for name, *_ in COUNTY_CENTRES}) == 58
+    table = county_centres(spark)
+    assert rows(table) == COUNTY_CENTRES
+    assert table.dtypes == [("County", "string"), ("latitude", "double"), ("longitude", "double")]
 
 
 def test_map_layer(spark):
