@@ -13,6 +13,7 @@ join key that holds a large share of the rows.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from caseframe.operators.cleaning import split_county_state, with_prevalence
 from caseframe.schema import STATE
@@ -27,21 +28,19 @@ DISEASE = "Brand#11"
 BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 
 
-# The columns in use, so that no job has to look the types up in the files.
-_COLUMNS = {
-    "nation": "n_nationkey int, n_name string",
-    "customer": "c_custkey bigint, c_nationkey int",
-    "part": "p_partkey bigint, p_brand string, p_size int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
-    "lineitem": (
-        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double,"
-        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string"
-    ),
-}
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """A table whose types are looked up in its files once per application.
+
+    The look-up is a job of its own, and a query reads up to seven tables.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
