@@ -18,6 +18,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseframe.operators.selection import years_after
 from caseframe.sources.working import materialise
 
 LABEL = "Recalculated_Rate"
@@ -155,7 +156,7 @@ def forecast_grid(
     diseases = [diseases] if isinstance(diseases, str) else list(diseases)
     if years is None:
         last = (history if train is None else train).agg(F.max("Year")).scalar()
-        chosen_years = F.explode(F.sequence(last + 1, last + ahead))
+        chosen_years = F.explode(years_after(last, ahead))
     else:
         chosen_years = _listed([years] if isinstance(years, int) else years)
     counties = (

@@ -17,9 +17,9 @@ from caseframe.schema import SEXES
 Period = tuple[int, int]
 
 
-def _totals(df, key, digits, total="Total_Cases", rate="Avg_Rate") -> DataFrame:
+def _totals(df: DataFrame, key: str, digits: int | None, rate: str = "Avg_Rate") -> DataFrame:
     return df.groupBy(key).agg(
-        F.sum("Count").alias(total), mean_rate(digits=digits).alias(rate)
+        F.sum("Count").alias("Total_Cases"), mean_rate(digits=digits).alias(rate)
     )
 
 

@@ -108,6 +108,8 @@ def recommendations(
     group sends a handful of rows per task. The survivors hold at least one row
     of each band present, so the worst band is read off them.
     """
+    if min(n_high, n_medium) < 1:
+        raise ValueError("each band must be allowed at least one county")
     keep = F.create_map(
         F.lit(HIGH), F.lit(n_high), F.lit(MEDIUM), F.lit(n_medium), F.lit(LOW), F.lit(1)
     )
@@ -121,7 +123,7 @@ def recommendations(
         risk.select(*by, "County", "Predicted_Rate", "Priority_Level")
         .filter(F.col("Priority_Level").isNotNull())
         .withColumn("Rank", F.row_number().over(in_band))
-        .filter(F.col("Rank") <= max(n_high, n_medium, 1))
+        .filter(F.col("Rank") <= max(n_high, n_medium))
         .filter(F.col("Rank") <= F.element_at(keep, F.col("Priority_Level")))
         .withColumn("severity", severity)
     )

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.schema import ALL_DISEASES, ALL_SEXES
@@ -51,20 +51,22 @@ def disease_options(df: DataFrame) -> DataFrame:
     )
 
 
+def years_after(last: Column, ahead: int) -> Column:
+    if ahead < 1:
+        raise ValueError("ahead must be at least 1")
+    return F.sequence(last + 1, last + ahead)
+
+
 def future_years(train: DataFrame, ahead: int = 5) -> DataFrame:
     """The ``ahead`` years after the last year of ``train``, one row each."""
     last = train.agg(F.max("Year").alias("last"))
-    return last.select(
-        F.explode(F.sequence(F.col("last") + 1, F.col("last") + ahead)).alias("Year")
-    )
+    return last.select(F.explode(years_after(F.col("last"), ahead)).alias("Year"))
 
 
 def year_options(predictions: DataFrame, train: DataFrame, ahead: int = 5) -> DataFrame:
     """Years with stored predictions and the years to come, latest first."""
     stored = predictions.select("Year").filter(F.col("Year").isNotNull())
-    return (
-        stored.union(future_years(train, ahead)).distinct().orderBy(F.desc("Year"))
-    )
+    return stored.union(future_years(train, ahead)).distinct().orderBy(F.desc("Year"))
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:

@@ -131,6 +131,9 @@ def test_year_options(cells, nothing):
         2007, 2006, 2005, 2004, 2003, 2002, 2001,
     ]
     assert rows(selection.year_options(nothing, nothing)) == []
+    assert rows(selection.future_years(cells, 1)) == [(2004,)]
+    with pytest.raises(ValueError, match="ahead"):
+        selection.future_years(cells, 0)
 
 
 def test_value_lists(cells):

@@ -190,3 +190,5 @@ def test_recommendation_sizes(spark):
     found = risk.recommendations(risk_rows(spark, *cells), n_high=2, n_medium=8)
     assert found.count() == 8
     assert found.filter(F.col("County") == "m8").count() == 1
+    with pytest.raises(ValueError, match="at least one"):
+        risk.recommendations(risk_rows(spark, *cells), n_high=0)

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from caseframe.__main__ import main
 from caseframe.operators.cleaning import clean, split_county_state
 from caseframe.plans.load import load_tables
 from caseframe.plans.preprocess import preprocess
@@ -184,6 +185,19 @@ def test_load_prefers_the_stages_and_falls_back_to_raw(spark, stage, many_raw, t
     assert (train.count(), test.count(), predicted.count()) == (7 * 18, 2 * 18, 2 * 18)
 
 
+def test_stages_from_the_command_line(spark, many_raw, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError, match="run the stage"):
+        main(["analyse", out])
+    main(["preprocess", f"{many_raw}/train.csv", f"{many_raw}/test.csv", out])
+    main(["analyse", out])
+    main(["train", out])
+    shown = capsys.readouterr().out
+    for word in ("unassigned", "county_hotspots", "Percentage", "rmse"):
+        assert word in shown
+    assert read_predictions_csv(spark, f"{out}/predictions").count() == 36
+
+
 def test_working_folder_is_the_cluster_setting(spark):
     assert working.working_dir(spark) == spark.conf.get(working.SETTING)
 
