@@ -47,6 +47,9 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # On one machine reading a shuffle by mapper saves no network, and a
+        # table in a single file has one mapper.
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
