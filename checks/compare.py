@@ -12,6 +12,7 @@ import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
 TYPES = {
+    "BOOLEAN": "boolean",
     "BIGINT": "bigint",
     "INTEGER": "int",
     "DOUBLE": "double",

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracles, queries
 from checks.compare import differences, duck
 from tests.conftest import TESTDATA
 
-ORACLES = contract.oracle_sql()
-QUERIES = contract.queries()
+ORACLES = oracles.ORACLES
+QUERIES = queries.QUERIES
 TRAINED = {"rf_predictions", "rf_metrics", "forecast_scores"}
 
 
@@ -19,6 +20,8 @@ def connection():
 def test_only_trained_queries_have_no_sql():
     assert set(QUERIES) - set(ORACLES) == TRAINED
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
