@@ -331,4 +331,5 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, fitted: int = FITTE
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` in which no benchmark item was found, all columns as they were."""
     found = contaminated(documents, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    return documents.join(found, F.col("doc_id").cast("long") == F.col("_found"), "left_anti")
+    same = F.col("doc_id").cast("long") == F.col("_found")
+    return documents.join(found.hint("merge"), same, "left_anti")

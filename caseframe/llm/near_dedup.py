@@ -29,6 +29,7 @@ when their sets are equal, and each stands for itself otherwise. Extra columns
 are ignored; an empty table gives an empty result.
 """
 
+import functools
 import hashlib
 import math
 
@@ -44,11 +45,15 @@ from caseframe.llm.work import components, groups, texts, written
 SKETCH = 64
 TILE = 256
 MISS = 1e-9
+#: Pairs estimated at once, and cells of a matrix of full sets in one task.
+_PAIRS = 4096
+_CELLS = 1 << 24
 
 _SKETCHES = "doc_id long, n_shingles long, set_key binary, sketch array<long>"
 _WORK = "work_group long, low int, high int, tile int, node long, shingles binary"
 
 
+@functools.cache
 def needed(size: int, percent: int, sketch: int = SKETCH) -> int:
     """Retained values that a set of ``size`` shares with any set as similar as asked."""
     if size <= sketch:
@@ -124,24 +129,43 @@ def _work_rows(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def sketch_overlaps(sketches: list[np.ndarray]) -> np.ndarray:
-    """Number of retained values that each two sketches share."""
-    owner = np.repeat(np.arange(len(sketches)), [len(sketch) for sketch in sketches])
-    _, place, count = np.unique(
-        np.concatenate(sketches), return_inverse=True, return_counts=True
-    )
+def _incidence(values: list[np.ndarray], most: int | None = None) -> np.ndarray | None:
+    """Which of the values that occur more than once each set holds; None beyond ``most`` cells."""
+    owner = np.repeat(np.arange(len(values)), [len(own) for own in values])
+    _, place, count = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
     column = np.cumsum(count > 1) - 1
+    width = int((count > 1).sum())
+    if most is not None and len(values) * width > most:
+        return None
     shared = count[place] > 1
-    holds = np.zeros((len(sketches), int((count > 1).sum())), np.float32)
+    holds = np.zeros((len(values), width), np.float32)
     holds[owner[shared], column[place[shared]]] = 1
+    return holds
+
+
+def sketch_overlaps(sketches: list[np.ndarray]) -> np.ndarray:
+    """Number of retained values that each two sketches share."""
+    holds = _incidence(sketches)
     return (holds @ holds.T).astype(np.int64)
 
 
-def estimate(one: np.ndarray, other: np.ndarray) -> tuple[int, int]:
-    """Of the union's sketch, how many values both sets hold, and its size."""
-    joined = np.union1d(one, other)[:SKETCH]
-    both = np.isin(joined, one, assume_unique=True) & np.isin(joined, other, assume_unique=True)
-    return int(both.sum()), len(joined)
+def estimates(sketches: list[np.ndarray], pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair, how many values of the union's sketch both sets hold, and its size."""
+    last = np.uint64(0xFFFFFFFFFFFFFFFF)
+    table = np.full((len(sketches), SKETCH), last)
+    for at, sketch in enumerate(sketches):
+        table[at, : len(sketch)] = sketch
+    both, seen = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+    for at in range(0, len(pairs), _PAIRS):
+        some = pairs[at : at + _PAIRS]
+        values = np.sort(np.concatenate([table[some[:, 0]], table[some[:, 1]]], axis=1), axis=1)
+        new = np.ones(values.shape, bool)
+        new[:, 1:] = values[:, 1:] != values[:, :-1]
+        rank = np.cumsum(new, axis=1)
+        real = (values != last) & (rank <= SKETCH)
+        both[at : at + _PAIRS] = (real & ~new).sum(axis=1)
+        seen[at : at + _PAIRS] = (real & new).sum(axis=1)
+    return both, seen
 
 
 def piece_links(
@@ -153,11 +177,17 @@ def piece_links(
     before already connect are passed over.
     """
     sketches = [values[:SKETCH] for values in sets]
-    least = np.array([needed(len(values), percent) for values in sets])
+    sizes = [len(values) for values in sets]
+    least = np.array([needed(size, percent) for size in sizes])
     enough = sketch_overlaps(sketches) >= np.maximum(least[:, None], least[None, :])
     if len(set(sides)) > 1:
         side = np.array(sides)
         enough &= side[:, None] != side[None, :]
+    pairs = np.argwhere(np.triu(enough, 1))
+    both, seen = estimates(sketches, pairs)
+    pairs = pairs[both >= np.where(seen == SKETCH, needed(SKETCH + 1, percent), 1)]
+    holds = _incidence(sets, _CELLS) if len(pairs) > len(sets) else None
+    common = None if holds is None else (holds @ holds.T).astype(np.int64)
     parent = list(range(len(sets)))
 
     def root(place):
@@ -166,17 +196,20 @@ def piece_links(
             place = parent[place]
         return place
 
+    if common is not None:
+        total = np.array(sizes)
+        union = total[pairs[:, 0]] + total[pairs[:, 1]] - common[pairs[:, 0], pairs[:, 1]]
+        pairs = pairs[100 * common[pairs[:, 0], pairs[:, 1]] >= percent * union]
     found = []
-    for a, b in np.argwhere(np.triu(enough, 1)).tolist():
+    for a, b in pairs.tolist():
         if root(a) == root(b):
             continue
-        both, seen = estimate(sketches[a], sketches[b])
-        if both < (needed(SKETCH + 1, percent) if seen == SKETCH else 1):
-            continue
-        inter = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if 100 * inter >= percent * (len(sets[a]) + len(sets[b]) - inter):
-            parent[root(a)] = root(b)
-            found.append((a, b))
+        if common is None:
+            inter = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 100 * inter < percent * (sizes[a] + sizes[b] - inter):
+                continue
+        parent[root(a)] = root(b)
+        found.append((a, b))
     return found
 
 
@@ -260,7 +293,8 @@ def near_duplicates(
     plan = plan.withColumn("tile", F.expr("cast(pmod(xxhash64(doc_id), tiles) as int)"))
 
     # Tiles against tiles, on full sets.
-    work = rows.join(plan, "doc_id").mapInArrow(_work(shingle), _WORK)
+    # Merged at any size, so that small tables move what large ones do.
+    work = rows.join(plan.hint("merge"), "doc_id").mapInArrow(_work(shingle), _WORK)
     piece = ["work_group", "low", "high"]
     width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = (
@@ -297,4 +331,5 @@ def keep_one_of_each(documents: DataFrame, percent: int = 80, shingle: int = 5)
     gone = labels.filter("doc_id is not null").filter("not kept").select(
         F.col("doc_id").alias("_gone")
     )
-    return documents.join(gone.distinct(), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    same = F.col("doc_id").cast("long") == F.col("_gone")
+    return documents.join(gone.distinct().hint("merge"), same, "left_anti")

@@ -321,7 +321,7 @@ def remove_repeats(
     )
     distinct_rows = rows.select("text_key", "text")
     contents = written(
-        distinct_rows.join(asked, "text_key").mapInArrow(_contents(length, gram), _CONTENT)
+        distinct_rows.join(asked.hint("merge"), "text_key").mapInArrow(_contents(length, gram), _CONTENT)
     ).dropDuplicates(["trigger", "phrase"])
     crowds = dictionary.filter("differs").groupBy("trigger").agg(F.count("*").alias("phrases"))
     crowded = written(crowds.filter(F.col("phrases") > hot).select("trigger"))
@@ -352,7 +352,7 @@ def remove_repeats(
         )
     )
     return (
-        rows.join(spans, "text_key", "left")
+        rows.join(spans.hint("merge"), "text_key", "left")
         .select("doc_id", "text", "found")
         .mapInArrow(_removed(with_kept), _RESULT + (", kept binary" if with_kept else ""))
     )
