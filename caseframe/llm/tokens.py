@@ -1,20 +1,24 @@
 """Token ids of whole texts by a public byte-level BPE, with a cache of units.
 
-A byte-level pre-tokenizer never joins what lies on the two sides of a space
-that stands between two other characters, nor of a line feed that does. Texts
-are cut there, and each different unit is encoded once per worker by the
-tokenizer itself. A text where white space meets a space is encoded whole.
+A byte-level BPE first splits a text by a pattern, and no token crosses such a
+split. Texts are cut at splits here: into words (letters and digits together),
+signs and white space, as that pattern would. Each different unit is encoded by
+the tokenizer itself, once per worker while it stays in use. Texts with the
+tokenizer's special token, or with control signs that only Python takes for
+white space, are encoded whole.
 """
 
 import re
+from itertools import chain
 
 import numpy as np
 
-#: Units that a worker remembers; the memory is emptied when it is full.
+#: Units that a worker remembers in each of two generations.
 _REMEMBERED = 400_000
-#: Two white-space characters in a row, or controls that only Python counts as such.
-_RUN = re.compile(r"\s\s|[\x1c-\x1f]")
 _LONG = 64
+#: Splits of the vocabulary's pattern that matter here, in its order.
+_UNIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 
 
 class Encoder:
@@ -22,39 +26,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [
+            token.content for token in self.tokenizer.get_added_tokens_decoder().values()
+        ]
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _packed(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in encoded]
 
+    def _is_plain(self, text: str) -> bool:
+        return not any(sign in text for sign in (*_CONTROLS, *self.special))
+
+    def _remember(self, units: set[str]) -> None:
+        """Have all units in ``seen``; what was not used for a while is forgotten."""
+        if len(self.seen) > _REMEMBERED:
+            self.older, self.seen = self.seen, {}
+        new = units - self.seen.keys()
+        again = new & self.older.keys()
+        self.seen.update((unit, self.older[unit]) for unit in again)
+        new = list(new - again)
+        self.seen.update(zip(new, self._packed(new), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [None if _RUN.search(text) else _units(text) for text in texts]
-        if len(self.seen) > _REMEMBERED:
-            self.seen.clear()
-        seen = self.seen
-        new = {unit for units in cut if units for unit in units if unit not in seen}
-        new = list(new)
-        seen.update(zip(new, self._packed(new), strict=True))
+        cut = [_UNIT.findall(text) if self._is_plain(text) else None for text in texts]
+        units = set(chain.from_iterable(filter(None, cut)))
+        self._remember(units)
         whole = iter(
-            self._packed([text for text, units in zip(texts, cut, strict=True) if units is None])
+            self._packed([text for text, own in zip(texts, cut, strict=True) if own is None])
         )
-        result = [
-            next(whole) if units is None else b"".join(map(seen.__getitem__, units))
-            for units in cut
-        ]
-        for unit in new:
+        known = self.seen.__getitem__
+        result = [next(whole) if own is None else b"".join(map(known, own)) for own in cut]
+        for unit in units:
             if len(unit) > _LONG:
-                del seen[unit]
+                del self.seen[unit]
         return result
 
 
-def _units(text: str) -> list[str]:
-    """Pieces of a text without two white-space characters in a row."""
-    return re.findall(r" ?[^\s]+|\s", text)
-
-
 _encoders: dict[str, Encoder] = {}
 
 

@@ -48,7 +48,7 @@ _tables: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, count: int) -> np.ndarray:
-    if len(_tables.get(base, ())) < count:
+    if base not in _tables or len(_tables[base]) < count:
         _tables[base] = powers(base, max(count, _CHUNK + 1))
     return _tables[base][:count]
 

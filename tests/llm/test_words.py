@@ -34,7 +34,7 @@ def test_words_and_shingles_equal_plain_python():
 
 def test_hashes_are_of_content_alone():
     data = np.frombuffer(b"abcabcab" * 30, np.uint8)
-    at = np.array([0, 3, 24])
+    at = np.array([0, 1, 24])
     hashes = stretch_hashes(prefix_sums(data), at, at + 5)
     assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
 
