@@ -1,6 +1,6 @@
 """A quality classifier by co-training two views of a document.
 
-The text view sees which words and word endings occur; the metadata view sees
+The text view sees which words and word endings occur and whether words repeat; the metadata view sees
 source, language and length. Both start from labelled documents. In each round
 either view labels the unlabelled documents it is surest about, and the other
 one learns from them as well. Each view's score is calibrated on labelled
@@ -29,14 +29,18 @@ from caseframe.llm.words import NO_LETTER, chunks, mixed, stretch_hashes, words
 from caseframe.llm.words import prefix_sums as sums
 from caseframe.llm.work import texts
 
-LABELLED = 8000
+LABELLED = 20_000
 UNLABELLED = 4000
 ROUNDS = 3
 SURE = 0.98
 EXCHANGED = 400
 FEATURES = 256
 #: Least chi-square of a feature, far above chance among a million words.
-LEAST_CHI = 40.0
+LEAST_CHI = 25.0
+#: A document is rejected from this probability on.
+REJECT = 0.4
+#: Shares of words that repeat the word before them, each a feature.
+REPEATS = (0.01, 0.05, 0.2)
 META = 256
 _LENGTHS = 24
 
@@ -55,19 +59,25 @@ _SHAPE[ord("0") : ord("9") + 1] = ord("0")
 def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature hashes of the texts in order, and the n + 1 bounds.
 
-    Features are runs of letters and the shape of the last three bytes of a word.
+    Features are runs of letters, the shape of the last three bytes of a word and
+    how many words repeat the one before them.
     """
     letters = words(data, offsets, NO_LETTER)
     plain = words(data, offsets)
     endings = np.maximum(plain.ends - 3, plain.starts)
     shapes = stretch_hashes(sums(_SHAPE[data]), endings, plain.ends) ^ np.uint64(0x5DEECE66D)
-    hashes = np.concatenate([letters.hashes, shapes])
-    owner = np.concatenate(
-        [
-            np.repeat(np.arange(len(offsets) - 1), np.diff(found.first))
-            for found in (letters, plain)
-        ]
+    texts_ = np.arange(len(offsets) - 1)
+    of_letters, of_plain = (
+        np.repeat(texts_, np.diff(found.first)) for found in (letters, plain)
     )
+    again = (plain.hashes[1:] == plain.hashes[:-1]) & (of_plain[1:] == of_plain[:-1])
+    share = np.bincount(of_plain[1:][again], minlength=len(texts_)) / np.maximum(
+        np.diff(plain.first), 1
+    )
+    repeating = [np.flatnonzero(share >= least) for least in REPEATS]
+    marks = [np.full(len(some), turn + 1, np.uint64) for turn, some in enumerate(repeating)]
+    hashes = np.concatenate([letters.hashes, shapes, *marks])
+    owner = np.concatenate([of_letters, of_plain, *repeating])
     order = np.lexsort((hashes, owner))
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), bool)
@@ -116,7 +126,7 @@ def _sampled(batches):
 
 
 def logistic(
-    x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a ridge logistic regression, by Newton's method."""
     x = np.column_stack([x, np.ones(len(x))]).astype(float)
@@ -197,7 +207,9 @@ def co_train(
     more_meta: np.ndarray,
 ) -> CoTrained:
     """Fit both views on labelled rows and what they tell each other about the others."""
-    held = np.arange(len(y)) % 4 == 3
+    held = np.zeros(len(y), bool)
+    for label in (0, 1):
+        held[np.flatnonzero(y == label)[3::4]] = True
     if min(y[~held].sum(), (1 - y[~held]).sum(), y[held].sum(), (1 - y[held]).sum()) < 2:
         return CoTrained(np.zeros(0, np.uint64))
     learn = [doc for doc, out in zip(docs, held, strict=True) if not out]
@@ -265,7 +277,7 @@ def _judged(models: list[CoTrained], batch: pa.RecordBatch) -> tuple[list[np.nda
             if len(model.meta.weights):
                 other = model.meta.score(meta)
             both = model.combined(text, other)
-            kept &= both < 0.5
+            kept &= both < REJECT
             for at, values in enumerate((_probability(text), _probability(other), both)):
                 columns[3 * turn + at].append(values)
         all_kept.append(kept)

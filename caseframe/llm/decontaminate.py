@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
 * Passages are windows of 16, 32 or 64 words, every eight words. Words are runs
-  of letters, hashed to ``FEATURES`` columns, and weighted by their inverse
+  of letters and digits, hashed to ``FEATURES`` columns, and weighted by their inverse
   document frequency over all documents.
 * The latent space comes from a randomised singular value decomposition of the
   passages' TF-IDF matrix: random projections, summed over the tasks, with one
@@ -19,7 +19,7 @@ The benchmark is searched in blocks of ``ITEMS`` items, of which one is held at
 a time, so its size is not bounded by memory. All passages are searched; there
 is no cap on candidates.
 
-Null and empty texts and texts without letters have no passages. Items without
+Null and empty texts and texts without letters or digits have no passages. Items without
 words match nothing. Rows that repeat an id are searched each, and give a row
 per item with the larger ratio. Null ids are searched and reported as null.
 Extra columns are ignored; empty tables give an empty result.
@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseframe.llm.words import NO_LETTER, chunks, words
+from caseframe.llm.words import NO_LETTER_OR_DIGIT, chunks, words
 from caseframe.llm.work import array_sum, texts
 
 FEATURES = 1 << 15
@@ -55,7 +55,7 @@ def _features(hashes: np.ndarray) -> np.ndarray:
 
 def _letter_words(batch):
     for part, data, offsets in chunks(batch):
-        found = words(data, offsets, NO_LETTER)
+        found = words(data, offsets, NO_LETTER_OR_DIGIT)
         yield part, found, _features(found.hashes)
 
 
@@ -169,7 +169,7 @@ class Items:
         self.ids, self.words, self.answers, self.masks, features = [], [], [], [], []
         at = 0
         for part, data, offsets in chunks(batch):
-            found = words(data, offsets, NO_LETTER)
+            found = words(data, offsets, NO_LETTER_OR_DIGIT)
             for i in range(part.num_rows):
                 own = found.hashes[found.first[i] : found.first[i + 1]]
                 if len(own):
@@ -193,7 +193,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _word_hashes(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), np.uint8)
-    return words(data, np.array([0, len(data)]), NO_LETTER).hashes
+    return words(data, np.array([0, len(data)]), NO_LETTER_OR_DIGIT).hashes
 
 
 def _answer(text: str) -> list[int]:

@@ -16,6 +16,9 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 #: Runs of letters only: ASCII letters and whatever is not ASCII.
 NO_LETTER = np.ones(256, bool)
 NO_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 256)]] = False
+#: Runs of letters and digits.
+NO_LETTER_OR_DIGIT = NO_LETTER.copy()
+NO_LETTER_OR_DIGIT[ord("0") : ord("9") + 1] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
