@@ -29,7 +29,7 @@ from caseframe.llm.words import NO_LETTER, chunks, mixed, stretch_hashes, words
 from caseframe.llm.words import prefix_sums as sums
 from caseframe.llm.work import texts
 
-LABELLED = 20_000
+LABELLED = 12_000
 UNLABELLED = 4000
 ROUNDS = 3
 SURE = 0.98

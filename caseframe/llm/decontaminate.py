@@ -11,7 +11,8 @@
   items of its length. Coordinates are divided by their singular values, so
   that unrelated passages are close to perpendicular.
 * Candidates of at least ``COSINE`` are checked: the longest common subsequence
-  of the item's words and the passage with its surroundings. A document is
+  of the item's words and the passage with its surroundings, where enough of the
+  item's rarest words occur for it to be as long as asked. A document is
   contaminated if it has ``LCS`` of the item's words in order, or ``WEAK`` of
   them and the item's answer, its last sentence, word for word.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from caseframe.llm.words import NO_LETTER_OR_DIGIT, chunks, words
 from caseframe.llm.work import array_sum, texts
 
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 RANK = 64
 FITTED = 20_000
 ITEMS = 4096
@@ -138,7 +139,8 @@ def _gram(idf: np.ndarray, space: np.ndarray):
                         seen[passage[some]], new[at:upto] - bounds[at]
                     )
                     at = upto
-        yield pd.DataFrame({"total": [(total * idf[:, None]).tobytes()]})
+        total = (total * idf[:, None]).astype(np.float32)
+        yield pd.DataFrame({"total": [total.tobytes()]})
 
     return run
 
@@ -148,7 +150,7 @@ def latent_space(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
 
     def applied(space):
         partial = sample.mapInArrow(_as_pandas(_gram(idf, space)), "total binary")
-        return array_sum(partial, "total", np.zeros(space.shape))
+        return array_sum(partial, "total", np.zeros(space.shape, np.float32)).astype(float)
 
     start = np.random.default_rng(0).normal(size=(FEATURES, RANK))
     basis, _ = np.linalg.qr(applied(start))
@@ -161,7 +163,7 @@ def latent_space(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
 class Items:
     """A block of benchmark items, by the window that suits their length."""
 
-    def __init__(self, table: pd.DataFrame, space: np.ndarray):
+    def __init__(self, table: pd.DataFrame, space: np.ndarray, idf: np.ndarray):
         import pyarrow as pa
 
         column = pa.array(table["text"].tolist(), pa.string())
@@ -179,6 +181,7 @@ class Items:
                     self.masks.append(_masks(own.tolist()))
                     features.append(_features(own))
             at += part.num_rows
+        self._find_rarest(idf)
         lengths = np.array([len(own) for own in self.words])
         edges = [(a * b) ** 0.5 for a, b in zip(WINDOWS, WINDOWS[1:], strict=False)]
         kind = np.searchsorted(edges, lengths)
@@ -186,6 +189,32 @@ class Items:
         vectors = [space[own].sum(axis=0) for own in features]
         self.vectors = _unit(np.array(vectors).reshape(-1, space.shape[1]))
 
+    def _find_rarest(self, idf: np.ndarray) -> None:
+        """The rarest words of each item, more than may be missing, and how many must be there."""
+        rarest, self.must = [], []
+        for own in self.words:
+            missing = len(own) - int(np.ceil(WEAK * len(own) - 1e-9))
+            some = np.argsort(-idf[_features(own)], kind="stable")[: missing + 3]
+            rarest.append(own[some])
+            self.must.append(len(some) - missing)
+        self.rare, place = np.unique(
+            np.concatenate([*rarest, np.zeros(0, np.uint64)]), return_inverse=True
+        )
+        ends = np.cumsum([len(own) for own in rarest], dtype=int)
+        self.rare_of = [np.unique(part) for part in np.split(place, ends[:-1])] if rarest else []
+
+    def places(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """For each item, where its rarest words are."""
+        if not len(self.rare):
+            return []
+        at = np.minimum(np.searchsorted(self.rare, hashes), len(self.rare) - 1)
+        where = np.flatnonzero(self.rare[at] == hashes)
+        word = at[where]
+        order = np.argsort(word, kind="stable")
+        bounds = np.searchsorted(word[order], np.arange(len(self.rare) + 1))
+        of_word = [where[order[a:b]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return [np.sort(np.concatenate([of_word[w] for w in own])) for own in self.rare_of]
+
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + 1e-9)
@@ -241,6 +270,7 @@ def _matches(found, features, space: np.ndarray, items: Items):
     pieces = np.zeros((len(starts) + 1, space.shape[1]))
     np.cumsum(_projected(features, space, starts), axis=0, out=pieces[1:])
     last = np.searchsorted(owner, owner, side="right")
+    rare = items.places(found.hashes)
     at = np.arange(len(starts))
     for window, some in zip(WINDOWS, items.of_window, strict=True):
         if not len(some):
@@ -253,23 +283,26 @@ def _matches(found, features, space: np.ndarray, items: Items):
             rows = use[low : low + _ROWS]
             passages = _unit((pieces[end[rows]] - pieces[rows]).astype(np.float32))
             cosines = passages @ vectors
-            for row, column in np.argwhere(cosines >= COSINE).tolist():
-                place, item = rows[row], int(some[column])
-                text = int(owner[place])
-                from_, to = found.first[text], found.first[text + 1]
-                slack = max(len(items.words[item]), STRIDE)
-                begin = max(from_, starts[place] - slack)
-                stop = min(to, starts[place] + window + slack)
-                other = found.hashes[begin:stop].tolist()
+            near = cosines >= COSINE
+            for column, item in enumerate(some.tolist()):
+                close = np.flatnonzero(near[:, column])
+                place = rows[close]
+                text = owner[place]
                 n = len(items.words[item])
-                ratio = common_subsequence(items.masks[item], n, other) / n
-                if ratio < WEAK:
-                    continue
-                answer = bool(items.answers[item]) and _contains(other, items.answers[item])
-                if ratio >= LCS or answer:
-                    yield text, item, float(cosines[row, column]), ratio, answer, int(
-                        starts[place] - from_
-                    )
+                slack = max(n, STRIDE)
+                begin = np.maximum(found.first[text], starts[place] - slack)
+                stop = np.minimum(found.first[text + 1], starts[place] + window + slack)
+                there = np.searchsorted(rare[item], stop) - np.searchsorted(rare[item], begin)
+                for one in np.flatnonzero(there >= items.must[item]).tolist():
+                    other = found.hashes[begin[one] : stop[one]].tolist()
+                    ratio = common_subsequence(items.masks[item], n, other) / n
+                    if ratio < WEAK:
+                        continue
+                    answer = bool(items.answers[item]) and _contains(other, items.answers[item])
+                    if ratio >= LCS or answer:
+                        own = int(text[one])
+                        at_word = int(starts[place[one]] - found.first[own])
+                        yield own, item, float(cosines[close[one], column]), ratio, answer, at_word
 
 
 def _searched(space: np.ndarray, items: Items):
@@ -314,7 +347,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, fitted: int = FITTE
     found = spark.createDataFrame([], _MATCH)
     for block in range(blocks):
         part = items.filter(F.expr(f"pmod(xxhash64(item_id), {blocks}) = {block}")).toPandas()
-        search = _as_pandas(_searched(space, Items(part, space)))
+        search = _as_pandas(_searched(space, Items(part, space, idf)))
         found = found.unionByName(rows.mapInArrow(search, _MATCH))
     order = F.struct("lcs_ratio", "cosine", F.col("at_word").alias("_at"))
     return (
