@@ -6,8 +6,8 @@ is collected. The time covers building the plan as well, including the model
 fits and the intermediate tables a query writes.
 
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (cores), BENCH_RUNS (timed runs
-per query), BENCH_SECONDS (after so long each further query is timed once),
-BENCH_QUERIES (comma-separated names, default all).
+per query, alike for all), BENCH_QUERIES (comma-separated names, default all of
+the analyses).
 """
 
 import json
@@ -23,9 +23,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import QUERIES  # noqa: E402
 
-# Fits take many times as long as the other queries and vary little.
-FITTED = {"rf_predictions", "rf_metrics", "forecast_scores"}
-
 
 def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
@@ -38,7 +35,6 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    budget = float(os.environ.get("BENCH_SECONDS", "300"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else list(QUERIES)
     spark = (
@@ -47,21 +43,16 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # On one machine reading a shuffle by mapper saves no network, and a
-        # table in a single file has one mapper.
-        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    timings, begin = {}, time.perf_counter()
+    timings = {}
     for name in names:
         seconds(spark, name, sf_dir)
-        late = time.perf_counter() - begin > budget
-        repeat = 1 if late or name in FITTED else runs
         timings[name] = round(
-            statistics.median(seconds(spark, name, sf_dir) for _ in range(repeat)), 3
+            statistics.median(seconds(spark, name, sf_dir) for _ in range(runs)), 3
         )
     spark.stop()
     print(

@@ -3,12 +3,20 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseframe.functions import lenient_double, lenient_int, lenient_long, prevalence
+from caseframe.functions import (
+    is_number,
+    lenient_double,
+    lenient_int,
+    lenient_long,
+    prevalence,
+    whole_number,
+)
 from caseframe.schema import (
     DOTTED,
     DOUBLE_COLUMNS,
     FILLED,
     INT_COLUMNS,
+    LONG_COLUMNS,
     RAW_INDEX,
     STATE,
 )
@@ -18,11 +26,12 @@ def with_id(df: DataFrame) -> DataFrame:
     """``Id`` from the unnamed index column, or generated.
 
     Generated ids are unique within one frame only: they repeat between two
-    frames and may differ from run to run, so nothing joins on them.
+    frames and may differ from run to run, so nothing joins on them. An index
+    written as ``12.0`` is 12; one that is no whole number fails the job.
     """
     if RAW_INDEX in df.columns:
         return df.withColumnRenamed(RAW_INDEX, "Id").withColumn(
-            "Id", lenient_long(F.col("Id"))
+            "Id", whole_number(F.col("Id"))
         )
     return df.withColumn("Id", F.monotonically_increasing_id())
 
@@ -36,9 +45,14 @@ def with_prevalence(df: DataFrame) -> DataFrame:
 def clean(raw: DataFrame) -> DataFrame:
     """Typed rows with filled gaps and the recomputed prevalence.
 
-    Further columns pass through. Population, Year and the keys keep nulls.
+    Further columns pass through. Population, Year and the keys keep nulls. A
+    count is filled where none was given or it was no number; a number beyond
+    64 bits is null, not 0.
     """
     casts = {name: lenient_int(F.col(name)) for name in INT_COLUMNS}
+    casts |= {name: lenient_long(F.col(name)) for name in LONG_COLUMNS}
+    given = F.when(is_number(F.col("Count")), casts["Count"])
+    casts["Count"] = given.when(~is_number(F.col("Count")), F.lit(0).cast("bigint"))
     casts |= {name: lenient_double(F.col(name)) for name in DOUBLE_COLUMNS}
     typed = with_id(raw).withColumnsRenamed(DOTTED).withColumns(casts)
     return with_prevalence(typed.na.fill(FILLED))

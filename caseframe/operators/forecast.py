@@ -1,8 +1,8 @@
 """Random forest models of the prevalence: batch scoring and future years.
 
-``fit_*`` run jobs, as every estimator does. The training rows are written to
-the working folder first: a fit reads them many times, and a lost executor
-then costs a re-read of files and not of the whole plan behind them.
+``fit_*`` run jobs, as every estimator does, and read their rows many times. Give
+them a stored table; rows that are expensive to make are written first, with
+``materialise``.
 """
 
 from collections.abc import Sequence
@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.operators.selection import years_after
-from caseframe.sources.working import materialise
 
 LABEL = "Recalculated_Rate"
 CATEGORIES = ("Disease", "County", "Sex")
@@ -70,7 +69,7 @@ def build_rate_pipeline() -> Pipeline:
 
 
 def fit_rate_model(train: DataFrame) -> PipelineModel:
-    return build_rate_pipeline().fit(materialise(training_rows(train, CATEGORIES)))
+    return build_rate_pipeline().fit(training_rows(train, CATEGORIES))
 
 
 def build_forecast_pipeline(indexer: StringIndexer | StringIndexerModel, max_bins: int) -> Pipeline:
@@ -94,10 +93,8 @@ def fit_forecast_model(history: DataFrame) -> PipelineModel:
     A tree needs a bin for every category and one for unseen ones, so the bins
     follow the number of labels found.
     """
-    rows = materialise(
-        training_rows(history, FORECAST_CATEGORIES).withColumn(
-            "Population", F.col("Population").cast("double")
-        )
+    rows = training_rows(history, FORECAST_CATEGORIES).withColumn(
+        "Population", F.col("Population").cast("double")
     )
     indexer = _indexer(FORECAST_CATEGORIES).fit(rows)
     most = max(len(labels) for labels in indexer.labelsArray)

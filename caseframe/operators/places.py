@@ -1,6 +1,6 @@
 """County coordinates and the map layer."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseframe.functions import bar_height, heat_colour
@@ -108,15 +108,14 @@ def county_means(df: DataFrame) -> DataFrame:
 def map_layer(df: DataFrame, coordinates: DataFrame) -> DataFrame:
     """One row per county on the map, with bar height and colour.
 
-    Both are relative to the highest mean rate on the map, which a scalar
-    subquery supplies to all tasks. It picks the whole county row, and so needs
-    the very columns of the grouping: Spark then reuses the grouping's shuffle
-    and reads the input once.
+    Both are relative to the highest mean rate on the map: a window over the
+    rows left after the grouping and the join, one per place of the coordinates
+    table. That table is a list of places drawn on one map, so one task holds it;
+    the input is read once.
     """
     placed = with_coordinates(county_means(df), coordinates)
-    measures = F.struct("Total_Count", "Mean_Rate", "Population")
-    highest = placed.agg(F.max_by(measures, "Mean_Rate")).scalar()
-    share = share_of_maximum(F.col("Mean_Rate"), highest["Mean_Rate"])
+    highest = F.max("Mean_Rate").over(Window.partitionBy())
+    share = share_of_maximum(F.col("Mean_Rate"), highest)
     return (
         placed.withColumn("share", share)
         .withColumns(

@@ -14,14 +14,15 @@ def _struct(*fields):
     return StructType([StructField(name, kind(), True) for name, kind in fields])
 
 
+# Column names of the raw extract and of the tables made from it.
 _KEYS = (
     ("Id", LongType),
     ("Disease", StringType),
     ("County", StringType),
     ("Year", IntegerType),
     ("Sex", StringType),
-    ("Count", IntegerType),
-    ("Population", IntegerType),
+    ("Count", LongType),
+    ("Population", LongType),
 )
 
 CLEAN = _struct(
@@ -57,9 +58,10 @@ RAW_REQUIRED = (
 )
 RAW_INDEX = "_c0"
 DOTTED = {"CI.lower": "CI_lower", "CI.upper": "CI_upper"}
-INT_COLUMNS = ("Year", "Count", "Population")
+INT_COLUMNS = ("Year",)
+LONG_COLUMNS = ("Count", "Population")
 DOUBLE_COLUMNS = ("Rate", "CI_lower", "CI_upper")
-FILLED = {"Count": 0, "Rate": 0.0, "CI_lower": 0.0, "CI_upper": 0.0}
+FILLED = {"Rate": 0.0, "CI_lower": 0.0, "CI_upper": 0.0}
 
 # The state roll-up row, the two sexes that are no roll-up, the
 # "no filter" choices of the selection lists and the "no data" text.

@@ -25,6 +25,7 @@ from caseframe.schema import (
     DOTTED,
     DOUBLE_COLUMNS,
     INT_COLUMNS,
+    LONG_COLUMNS,
     LOW,
     PREDICTIONS,
     RAW_REQUIRED,
@@ -108,6 +109,7 @@ def load_uncleaned(raw: DataFrame, state: str = STATE) -> DataFrame:
     """
     casts = {name: missing_if_nan(lenient_double(F.col(name))) for name in DOUBLE_COLUMNS}
     casts |= {name: lenient_int(F.col(name)) for name in INT_COLUMNS}
+    casts |= {name: lenient_long(F.col(name)) for name in LONG_COLUMNS}
     return (
         raw.withColumnsRenamed(DOTTED)
         .withColumns(casts)

@@ -6,36 +6,29 @@ written once, as parquet, to the folder the cluster names in
 executors that made them, and each reader prunes the columns it needs.
 """
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local: dict[str, str] = {}
 
 
 def working_dir(spark: SparkSession) -> str:
-    """The folder named in the session, or a temporary one on a local master only."""
-    context = spark.sparkContext
-    configured = spark.conf.get(SETTING, None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(
-            f"set {SETTING} to a folder that the driver and all executors share"
-        )
-    if context.applicationId not in _local:
-        path = tempfile.mkdtemp(prefix="caseframe-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        _local[context.applicationId] = f"file://{path}"
-    return _local[context.applicationId]
+    """The folder named in the session; where none is, the warehouse.
+
+    Executors share both. Nothing is written to a folder of one machine.
+    """
+    configured = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{working_dir(spark)}/caseframe-{uuid.uuid4().hex}"
+    """A new folder there, removed when the application ends."""
+    path = f"{working_dir(spark)}/caseframe-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.deleteOnExit(target)
+    return path
 
 
 def materialise(df: DataFrame) -> DataFrame:

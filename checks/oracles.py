@@ -5,6 +5,7 @@ binary and Spark rounds their decimal form.
 """
 
 from checks.tables import (
+    BEYOND_32_BITS,
     BRANDS,
     DISEASE,
     EARLY,
@@ -99,9 +100,11 @@ raw AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS Id, Disease,
          CASE l_linenumber WHEN 6 THEN 'California' WHEN 5 THEN NULL ELSE Nation END AS County,
          Year, Sex,
-         CASE WHEN l_linenumber <> 2 THEN CAST(l_quantity AS INTEGER) END AS Count,
+         CASE l_linenumber WHEN 2 THEN NULL
+              WHEN 7 THEN CAST(l_quantity AS BIGINT) + {BEYOND_32_BITS}
+              ELSE CAST(l_quantity AS BIGINT) END AS Count,
          CASE l_linenumber WHEN 3 THEN 0 WHEN 4 THEN NULL
-              ELSE CAST(p_size * 1000 AS INTEGER) END AS Population,
+              ELSE CAST(p_size * 1000 AS BIGINT) END AS Population,
          CASE WHEN l_linenumber <> 2 THEN l_extendedprice END AS Rate,
          CASE WHEN l_linenumber <> 3 THEN l_discount END AS CI_lower,
          CASE WHEN l_linenumber <> 4 THEN l_tax END AS CI_upper
@@ -157,7 +160,8 @@ SELECT CASE WHEN County = 'California' THEN 'state' ELSE 'county' END AS level,
        count(*) AS n_rows FROM f GROUP BY ALL""",
     "state_rows": f"{_CASES} SELECT * FROM f WHERE County = 'California'",
     "uncleaned_fallback": f"""{_RAW}
-SELECT CAST(Id AS VARCHAR) AS _c0, * EXCLUDE (Id), Rate AS Recalculated_Rate,
+SELECT CAST(Id AS VARCHAR) || CASE WHEN Id % 10 = 1 THEN '.0' ELSE '' END AS _c0,
+       * EXCLUDE (Id), Rate AS Recalculated_Rate,
        Rate AS Predicted_Rate, 'Basse Priorite' AS Priority_Level
 FROM raw WHERE County IS DISTINCT FROM 'California'""",
     "global_filter": f"""{_CASES} SELECT * FROM V

@@ -13,7 +13,6 @@ join key that holds a large share of the rows.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from caseframe.operators.cleaning import split_county_state, with_prevalence
 from caseframe.schema import STATE
@@ -25,22 +24,12 @@ FIRST_NATION_OFF_THE_MAP = 20
 EARLY, LATE = (1995, 1997), (1999, 2001)
 FIRST_TEST_YEAR = 2000
 DISEASE = "Brand#11"
+BEYOND_32_BITS = 3_000_000_000
 BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 
 
-_schemas: dict[tuple[str, str], StructType] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose types are looked up in its files once per application.
-
-    The look-up is a job of its own, and a query reads up to seven tables.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,12 +150,17 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("County")
     )
     return line_items(spark, sf_dir).join(places, "c_nationkey").select(
-        text(F.col("l_orderkey") * 10 + line).alias("_c0"),
+        F.when(line == 1, F.concat(text(F.col("l_orderkey") * 10 + line), F.lit(".0")))
+        .otherwise(text(F.col("l_orderkey") * 10 + line))
+        .alias("_c0"),
         "Disease",
         F.when(line == 6, F.lit(STATE)).when(line != 5, F.col("County")).alias("County"),
         text(F.col("Year")).alias("Year"),
         "Sex",
-        F.when(line == 2, F.lit("NA")).otherwise(text(F.col("l_quantity") + 0.5)).alias("Count"),
+        F.when(line == 2, F.lit("NA"))
+        .when(line == 7, text(F.col("l_quantity").cast("bigint") + BEYOND_32_BITS))
+        .otherwise(text(F.col("l_quantity") + 0.5))
+        .alias("Count"),
         F.when(line == 3, F.lit("0"))
         .when(line != 4, text(F.col("p_size") * 1000))
         .alias("Population"),

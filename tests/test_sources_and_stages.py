@@ -1,4 +1,5 @@
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,6 +224,10 @@ class Session:
 
 def test_no_machine_local_folder_on_a_cluster():
     assert working.working_dir(Session("yarn", "s3a://shared/work/")) == "s3a://shared/work"
-    with pytest.raises(RuntimeError, match="share"):
-        working.working_dir(Session("yarn"))
-    assert Path(working.working_dir(Session("local[2]")).removeprefix("file://")).is_dir()
+    unset = Session("yarn")
+    unset.conf = SimpleNamespace(
+        get=lambda name, default=None: {"spark.sql.warehouse.dir": "hdfs://shared/w/"}.get(
+            name, default
+        )
+    )
+    assert working.working_dir(unset) == "hdfs://shared/w"
