@@ -302,7 +302,7 @@ def near_duplicates(
         .sortWithinPartitions(*piece, "node")
         .mapInPandas(_links(percent), "a long, b long")
     )
-    named = components(written(links).distinct())
+    named = components(written(links.distinct()))
     reached = (
         known.select("set_key", "n_shingles", "node")
         .join(named, "node", "left")

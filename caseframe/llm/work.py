@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Shuffle files of a written intermediate go when the write has ended.
@@ -78,12 +78,14 @@ def components(edges: DataFrame) -> DataFrame:
     """``node``, ``component`` of all ends of the edges (long ``a``, ``b``).
 
     A component is named by its smallest node. Every round takes the smallest
-    name among the neighbours and then follows names to the names they have, so
-    chains halve. Each step joins written tables on freshly shuffled keys, so
-    adaptive execution can split a node that has very many edges.
+    name among the neighbours and follows it to the name that it had itself, so
+    chains halve. The edges are read in each round: give a written table. A
+    round is one job and one table. Its joins are on freshly shuffled keys of
+    stored tables, so adaptive execution can split a node that has very many
+    edges or a name that very many nodes have.
     """
     ends = edges.filter("a <> b").select("a", "b")
-    both = written(ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
     names = written(
         both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("component"))
     )
@@ -92,21 +94,21 @@ def components(edges: DataFrame) -> DataFrame:
         nearest = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(
             F.min("seen").alias("seen")
         )
-        step = written(
-            names.join(nearest, "node", "left").select(
-                "node", "component", F.least("component", "seen").alias("next")
-            )
+        step = names.join(nearest, "node", "left").select(
+            "node", "component", F.least("component", "seen").alias("next")
+        )
+        further = names.select(F.col("node").alias("next"), F.col("component").alias("root"))
+        jumped = step.join(further, "next", "left").select(
+            "node", "component", F.coalesce("root", "next").alias("name")
         )
-        further = step.select(F.col("node").alias("next"), F.col("next").alias("root"))
-        jumped = written(
-            step.join(further, "next", "left").select(
-                "node",
-                F.coalesce("root", "next").alias("component"),
-                (F.coalesce("root", "next") < F.col("component")).alias("changed"),
+        changes = Observation()
+        lower = F.count(F.when(F.col("name") < F.col("component"), 1))
+        names = written(
+            jumped.observe(changes, lower.alias("n")).select(
+                "node", F.col("name").alias("component")
             )
         )
-        names = jumped.select("node", "component")
-        if jumped.filter("changed").isEmpty():
+        if not changes.get["n"]:
             return names
 
 
