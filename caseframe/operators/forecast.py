@@ -6,6 +6,7 @@ them a stored table; rows that are expensive to make are written first, with
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -15,7 +16,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseframe.operators.selection import years_after
@@ -47,9 +48,25 @@ def _assembler(columns: Sequence[str]) -> VectorAssembler:
     )
 
 
+def _known() -> Column:
+    present = [F.col(name).isNotNull() for name in (*NUMBERS, LABEL)]
+    return reduce(Column.__and__, present, ~F.isnan(LABEL))
+
+
 def training_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns a fit needs, of the rows where all numbers are known."""
-    return df.select(*columns, *NUMBERS, LABEL).na.drop(subset=[*NUMBERS, LABEL])
+    return df.select(*columns, *NUMBERS, LABEL).filter(_known())
+
+
+def training_report(df: DataFrame) -> DataFrame:
+    """One row: how many rows a fit uses and leaves out, and the range of their rates."""
+    known = _known()
+    return df.agg(
+        F.count_if(known).alias("n_train"),
+        F.count_if(~known).alias("n_left_out"),
+        F.min(F.when(known, F.col(LABEL))).alias("lowest"),
+        F.max(F.when(known, F.col(LABEL))).alias("highest"),
+    )
 
 
 def build_rate_pipeline() -> Pipeline:
@@ -131,40 +148,54 @@ def evaluate(scored: DataFrame) -> DataFrame:
     )
 
 
-def _listed(values: Sequence) -> Column:
-    return F.explode(F.array(*(F.lit(value) for value in values)))
+def _found_together(history: DataFrame) -> DataFrame:
+    """Each county and disease with a row of their own, with the county's mean population.
+
+    The mean is a window over the grouped pairs, of which a county has one per disease.
+    """
+    pairs = history.groupBy("County", "Disease").agg(
+        F.sum("Population").alias("total"), F.count("Population").alias("known")
+    )
+    of_county = Window.partitionBy("County")
+    mean = F.try_divide(F.sum("total").over(of_county), F.sum("known").over(of_county))
+    return pairs.select("County", "Disease", mean.alias("Population")).filter(
+        F.col("Disease").isNotNull()
+    )
 
 
 def forecast_grid(
     history: DataFrame,
-    diseases: str | Sequence[str],
+    disease: str | None = None,
     years: int | Sequence[int] | None = None,
     train: DataFrame | None = None,
     ahead: int = 5,
 ) -> DataFrame:
-    """One row per county, chosen disease and chosen year, with mean population.
+    """One row per county and chosen year, with the county's mean population.
 
-    Without ``years`` the grid spans the ``ahead`` years after the last one of
-    ``train`` (of ``history`` when no train set is given). The counties come
-    from one grouping, and the choices are written out beside each of them:
-    no join is involved. A county whose population is never known stays, with
+    With a disease every county has it, as on the risk screen. Without one, a
+    county has the diseases that it has rows of in ``history``, so the grid is
+    as large as the pairs found times the years. Without ``years`` it spans the
+    ``ahead`` years after the last one of ``train`` (of ``history`` when no
+    train set is given). A county whose population is never known stays, with
     null.
     """
-    diseases = [diseases] if isinstance(diseases, str) else list(diseases)
     if years is None:
         last = (history if train is None else train).agg(F.max("Year")).scalar()
-        chosen_years = F.explode(years_after(last, ahead))
+        chosen_years = years_after(last, ahead)
     else:
-        chosen_years = _listed([years] if isinstance(years, int) else years)
-    counties = (
-        history.filter(F.col("County").isNotNull())
-        .groupBy("County")
-        .agg(F.avg("Population").alias("Population"))
-    )
-    return (
-        counties.withColumn("Disease", _listed(diseases))
-        .withColumn("Year", chosen_years)
-        .select("County", "Disease", "Year", "Population")
+        listed = [years] if isinstance(years, int) else years
+        chosen_years = F.array(*(F.lit(year) for year in listed))
+    history = history.filter(F.col("County").isNotNull())
+    if disease is None:
+        places = _found_together(history)
+    else:
+        places = (
+            history.groupBy("County")
+            .agg(F.avg("Population").alias("Population"))
+            .withColumn("Disease", F.lit(disease))
+        )
+    return places.withColumn("Year", F.explode(chosen_years)).select(
+        "County", "Disease", "Year", "Population"
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseframe.operators.cleaning import clean, row_report
 from caseframe.operators.selection import union_sets
-from caseframe.sources import read_parquet, read_raw, read_rows, write_clean, write_csv
+from caseframe.sources import read_clean, read_raw, read_rows, write_clean, write_csv
 
 
 def preprocess(
@@ -25,5 +25,5 @@ def preprocess(
         write_clean(clean(read_raw(spark, path)), target)
         write_csv(read_rows(spark, target, "county"), f"{out_dir}/csv/{dataset}")
         write_csv(read_rows(spark, target, "state"), f"{out_dir}/csv/{dataset}_state")
-        written[dataset] = read_parquet(spark, target)
+        written[dataset] = read_clean(spark, target)
     return row_report(union_sets(written["train"], written["test"]))

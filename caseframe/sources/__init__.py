@@ -3,6 +3,7 @@
 from caseframe.sources.readers import (
     load_uncleaned,
     load_uncleaned_predictions,
+    read_clean,
     read_clean_csv,
     read_model,
     read_parquet,
@@ -23,6 +24,7 @@ __all__ = [
     "load_uncleaned_predictions",
     "materialise",
     "new_path",
+    "read_clean",
     "read_clean_csv",
     "read_model",
     "read_parquet",

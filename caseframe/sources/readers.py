@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from caseframe.functions.casting import (
     lenient_double,
@@ -86,13 +86,29 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return _open(lambda: spark.read.parquet(path), path)
 
 
+def read_clean(spark: SparkSession, path: str) -> DataFrame:
+    """A cleaned table written by ``write_clean``, all levels.
+
+    An empty set leaves a folder without files; it has the known columns and no rows.
+    """
+    try:
+        rows = read_parquet(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        layout = StructType([*CLEAN, StructField("level", StringType(), True)])
+        rows = spark.read.schema(layout).parquet(path)
+    # Without a known year in any row the folder names alone do not tell its type.
+    return rows.withColumn("Year", F.col("Year").cast("int"))
+
+
 def read_rows(spark: SparkSession, path: str, level: str = "county") -> DataFrame:
     """One half of a cleaned table written by ``write_clean``.
 
     ``level`` and, in later filters, ``Year`` are partition columns, so only the
     folders asked for are listed and read.
     """
-    rows = read_parquet(spark, path).filter(F.col("level") == level).drop("level")
+    rows = read_clean(spark, path).filter(F.col("level") == level).drop("level")
     extra = [name for name in rows.columns if name not in CLEAN.names]
     return rows.select(*CLEAN.names, *extra)
 

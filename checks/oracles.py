@@ -6,7 +6,6 @@ binary and Spark rounds their decimal form.
 
 from checks.tables import (
     BEYOND_32_BITS,
-    BRANDS,
     DISEASE,
     EARLY,
     FIRST_NATION_OFF_THE_MAP,
@@ -118,12 +117,11 @@ filled AS (
   FROM raw),
 cleaned AS (SELECT *, {_RATE} AS Recalculated_Rate FROM filled)"""
 
-_GRID_BRANDS = ", ".join(f"('{brand}')" for brand in BRANDS)
 _GRID = f"""
 grid AS (
   SELECT County, Disease, Year, Population
-  FROM (SELECT County, avg(Population) AS Population FROM V GROUP BY County),
-       (VALUES {_GRID_BRANDS}) AS brands(Disease),
+  FROM (SELECT County, avg(Population) AS Population FROM V GROUP BY County)
+       JOIN (SELECT DISTINCT County, Disease FROM V) USING (County),
        (SELECT CAST(last + step AS INTEGER) AS Year
         FROM (SELECT max(Year) AS last FROM V WHERE Year < {FIRST_TEST_YEAR}), range(1, 6) AS steps(step)))"""
 
@@ -145,6 +143,10 @@ ORACLES = {
     "preprocess": f"""{_CLEANED}
 SELECT *, CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset
 FROM cleaned WHERE County <> 'California'""",
+    "clean_csv_round_trip": f"""{_CLEANED}
+SELECT *, CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset,
+       CASE WHEN County = 'California' THEN 'state' ELSE 'county' END AS level
+FROM cleaned WHERE County IS NOT NULL""",
     "predictions_csv": f"""{_CLEANED}, {_banded("cleaned")}
 SELECT * EXCLUDE (Rate, CI_lower, CI_upper) FROM banded WHERE County <> 'California'""",
     "clean_table": f"{_CLEANED} SELECT * FROM cleaned",
@@ -294,4 +296,20 @@ UNION ALL
 SELECT Disease, County, Year, NULL, NULL, {_round("Population", 6)}, NULL,
        {_round("Population / 10000", 6)}, NULL
 FROM grid WHERE Year NOT IN (SELECT Year FROM V WHERE Year >= {FIRST_TEST_YEAR})""",
+    "rf_predictions": f"""{_CASES}
+SELECT *, Population IS NOT NULL AS scored, TRUE AS within_range, TRUE AS band_agrees
+FROM V WHERE Year >= {FIRST_TEST_YEAR}""",
+    "rf_metrics": f"""{_CASES}
+SELECT count(*) FILTER (WHERE Year >= {FIRST_TEST_YEAR} AND Population IS NOT NULL) AS n_rows,
+       count(*) FILTER (WHERE Year < {FIRST_TEST_YEAR} AND Population IS NOT NULL) AS n_train,
+       count(*) FILTER (WHERE Year < {FIRST_TEST_YEAR} AND Population IS NULL) AS n_left_out,
+       TRUE AS rmse_possible, TRUE AS r2_possible
+FROM V""",
+    "model_round_trip": f"""{_CASES}
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
+FROM V WHERE Year >= {FIRST_TEST_YEAR}""",
+    "forecast_scores": f"""{_CASES}, {_GRID}
+SELECT County, Disease, Year, {_round("Population", 6)} AS Population,
+       Population IS NOT NULL AS scored, TRUE AS within_range
+FROM grid""",
 }

@@ -7,7 +7,7 @@ A query whose plan would need the case table in more than one branch writes it
 to the working folder first, so that the joins over the line items run once.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from caseframe.operators import cleaning, overview, rankings, risk, selection
@@ -17,6 +17,7 @@ from caseframe.operators.forecast import (
     fit_rate_model,
     forecast,
     forecast_grid,
+    training_report,
     with_prediction,
 )
 from caseframe.operators.places import map_layer
@@ -27,12 +28,15 @@ from caseframe.sources import (
     load_uncleaned_predictions,
     materialise,
     new_path,
+    read_clean_csv,
+    read_model,
     read_predictions_csv,
     read_rows,
+    write_model,
     write_predictions,
 )
 from checks import tables
-from checks.tables import BRANDS, DISEASE, EARLY, LATE, county_rows, halves
+from checks.tables import DISEASE, EARLY, LATE, county_rows, halves
 
 
 def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -57,16 +61,34 @@ def _raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def preprocess(spark, sf_dir):
-    """Raw text as CSV files, through the whole stage, and back from its parquet."""
+def _stage_output(spark: SparkSession, sf_dir: str) -> str:
     raw, out = new_path(spark), new_path(spark)
     _raw_sets(spark, sf_dir).write.partitionBy("dataset").option("header", True).csv(raw)
     preprocess_stage(spark, f"{raw}/dataset=train", f"{raw}/dataset=test", out)
+    return out
+
+
+def preprocess(spark, sf_dir):
+    """Raw text as CSV files, through the whole stage, and back from its parquet."""
+    out = _stage_output(spark, sf_dir)
     return selection.union_sets(
         read_rows(spark, f"{out}/parquet/train"), read_rows(spark, f"{out}/parquet/test")
     )
 
 
+def clean_csv_round_trip(spark, sf_dir):
+    """The stage's CSV copies of both sets and levels, read back with their types."""
+    out = _stage_output(spark, sf_dir)
+    levels = {
+        level: selection.union_sets(
+            read_clean_csv(spark, f"{out}/csv/train{end}"),
+            read_clean_csv(spark, f"{out}/csv/test{end}"),
+        ).withColumn("level", F.lit(level))
+        for level, end in (("county", ""), ("state", "_state"))
+    }
+    return levels["county"].unionByName(levels["state"])
+
+
 def predictions_csv(spark, sf_dir):
     """Banded rows written as the predictions file and read back."""
     path = new_path(spark)
@@ -247,7 +269,7 @@ def recommendations(spark, sf_dir):
 
 def grid(spark, sf_dir):
     rows = _written_rows(spark, sf_dir)
-    return _rounded(forecast_grid(rows, BRANDS, train=halves(rows)[0]), "Population")
+    return _rounded(forecast_grid(rows, train=halves(rows)[0]), "Population")
 
 
 def prediction_lookup(spark, sf_dir):
@@ -265,31 +287,82 @@ def predictions_for(spark, sf_dir):
     rows = _written_rows(spark, sf_dir)
     train, test = halves(rows)
     stored = _banded(test).drop("prediction")
-    future = forecast_grid(rows, BRANDS, train=train).withColumn(
+    future = forecast_grid(rows, train=train).withColumn(
         "Predicted_Rate", F.col("Population") / 10_000
     )
     return _rounded(risk.predictions_for(stored, future), "Predicted_Rate", "Population")
 
 
+def _within(name: str, used: Row) -> Column:
+    """Whether a forest's value, a mean of known rates, lies between them, up to rounding."""
+    value = F.col(name)
+    return value.isNull() | value.between(used["lowest"] - 1e-2, used["highest"] + 1e-2)
+
+
 def rf_predictions(spark, sf_dir):
-    train, test = halves(cleaning.with_id(_written_rows(spark, sf_dir)))
-    scored = with_prediction(fit_rate_model(train), test)
-    return risk.prediction_columns(risk.band_predictions(scored))
+    """Scored test rows: SQL cannot grow the forest, but tells which rows have a prediction,
+    and that each is in the range of the rates learnt from and in the band of its value."""
+    train, test = halves(_written_rows(spark, sf_dir))
+    used = training_report(train).first()
+    scored = risk.band_predictions(with_prediction(fit_rate_model(train), test))
+    band = F.expr(
+        "CASE WHEN Predicted_Rate <= 5 THEN 'Basse Priorite'"
+        " WHEN Predicted_Rate <= 50 THEN 'Moyenne Priorite'"
+        " WHEN Predicted_Rate > 50 THEN 'Haute Priorite' END"
+    )
+    return scored.select(
+        *test.columns,
+        F.col("Predicted_Rate").isNotNull().alias("scored"),
+        _within("Predicted_Rate", used).alias("within_range"),
+        F.col("Priority_Level").eqNullSafe(band).alias("band_agrees"),
+    )
 
 
 def rf_metrics(spark, sf_dir):
+    """Rows learnt from, left out and compared, and whether the error figures can be."""
     train, test = halves(_written_rows(spark, sf_dir))
-    return evaluate(with_prediction(fit_rate_model(train), test))
+    used = training_report(train).first()
+    found = evaluate(with_prediction(fit_rate_model(train), test))
+    widest = used["highest"] - used["lowest"]
+    return found.select(
+        "n_rows",
+        *(F.lit(used[name]).cast("bigint").alias(name) for name in ("n_train", "n_left_out")),
+        F.col("rmse").between(0.0, widest).alias("rmse_possible"),
+        (F.col("r2") <= 1).alias("r2_possible"),
+    )
+
+
+def model_round_trip(spark, sf_dir):
+    """Test rows, and those that the model scores otherwise after it was stored and read."""
+    train, test = halves(_written_rows(spark, sf_dir))
+    model, path = fit_rate_model(train), new_path(spark)
+    write_model(model, path)
+    first = with_prediction(model, test).withColumnRenamed("prediction", "before")
+    both = with_prediction(read_model(path), first)
+    differs = ~F.col("before").eqNullSafe(F.col("prediction"))
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(differs).alias("n_different"))
 
 
 def forecast_scores(spark, sf_dir):
     rows = _written_rows(spark, sf_dir)
-    model = fit_forecast_model(rows)
-    return forecast(model, forecast_grid(rows, BRANDS, train=halves(rows)[0]))
+    used = training_report(rows).first()
+    found = forecast(fit_forecast_model(rows), forecast_grid(rows, train=halves(rows)[0]))
+    return _rounded(
+        found.select(
+            "County",
+            "Disease",
+            "Year",
+            "Population",
+            F.col("Predicted_Rate").isNotNull().alias("scored"),
+            _within("Predicted_Rate", used).alias("within_range"),
+        ),
+        "Population",
+    )
 
 
 QUERIES = {
     "preprocess": preprocess,
+    "clean_csv_round_trip": clean_csv_round_trip,
     "predictions_csv": predictions_csv,
     "clean_table": clean_table,
     "clean_rates": clean_rates,
@@ -329,5 +402,6 @@ QUERIES = {
     "predictions_for": predictions_for,
     "rf_predictions": rf_predictions,
     "rf_metrics": rf_metrics,
+    "model_round_trip": model_round_trip,
     "forecast_scores": forecast_scores,
 }

@@ -25,7 +25,6 @@ EARLY, LATE = (1995, 1997), (1999, 2001)
 FIRST_TEST_YEAR = 2000
 DISEASE = "Brand#11"
 BEYOND_32_BITS = 3_000_000_000
-BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

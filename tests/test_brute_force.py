@@ -175,6 +175,10 @@ def test_grid(case):
         known = [c["Population"] for c in group if c["Population"] is not None]
         if county is not None:
             expected[county] = fmean(known) if known else None
-    found = forecast_grid(df, ["A", "Z"], [2020, 2021]).collect()
-    assert len(found) == len(expected) * 4
-    assert all(r["Population"] == pytest.approx(expected[r["County"]]) for r in found)
+    pairs = {(c["County"], c["Disease"]) for c in cells if c["County"] and c["Disease"]}
+    for disease, places in (("A", {(county, "A") for county in expected}), (None, pairs)):
+        found = forecast_grid(df, disease, [2020, 2021]).collect()
+        assert sorted((r["County"], r["Disease"], r["Year"]) for r in found) == sorted(
+            (*place, year) for place in places for year in (2020, 2021)
+        )
+        assert all(r["Population"] == pytest.approx(expected[r["County"]]) for r in found)

@@ -144,7 +144,13 @@ def test_grid(spark):
         ("x", "A", 2020, 15.0),
         ("y", "A", 2020, None),
     ]
-    assert forecast_grid(history, ["A", "B"], [2020, 2021, 2022]).count() == 2 * 2 * 3
+    found_together = forecast_grid(history, years=[2020, 2021])
+    assert sorted(rows(found_together), key=str) == [
+        ("x", "A", 2020, 15.0),
+        ("x", "A", 2021, 15.0),
+        ("y", "B", 2020, None),
+        ("y", "B", 2021, None),
+    ]
     ahead = forecast_grid(history, "A", train=history.filter("Year < 2004"), ahead=2)
     assert sorted({r["Year"] for r in ahead.collect()}) == [2004, 2005]
     assert sorted({r["Year"] for r in forecast_grid(history, "A").collect()}) == [

@@ -9,7 +9,6 @@ from tests.conftest import TESTDATA
 
 ORACLES = oracles.ORACLES
 QUERIES = queries.QUERIES
-TRAINED = {"rf_predictions", "rf_metrics", "forecast_scores"}
 
 
 @pytest.fixture(scope="module")
@@ -17,9 +16,8 @@ def connection():
     return duck(f"{TESTDATA}/sf0.001")
 
 
-def test_only_trained_queries_have_no_sql():
-    assert set(QUERIES) - set(ORACLES) == TRAINED
-    assert set(ORACLES) <= set(QUERIES)
+def test_each_query_has_its_sql():
+    assert set(ORACLES) == set(QUERIES)
     assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
@@ -34,17 +32,3 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["Disease", "Total_Cases", "Avg_Prevalence_Rate"]
     assert df.count() == 15
-
-
-def test_trained_queries(spark):
-    folder = f"{TESTDATA}/sf0.001"
-    predictions = QUERIES["rf_predictions"](spark, folder)
-    test_rows = QUERIES["clean_rates"](spark, folder).filter("Year >= 2000")
-    assert predictions.count() == test_rows.count()
-    wrong = "(Predicted_Rate IS NULL) <> (Population IS NULL) OR Predicted_Rate < 0"
-    assert predictions.filter(wrong).count() == 0
-    (metrics,) = QUERIES["rf_metrics"](spark, folder).collect()
-    assert metrics["n_rows"] == predictions.filter("Population IS NOT NULL").count()
-    scores = QUERIES["forecast_scores"](spark, folder)
-    assert scores.count() == 25 * 25 * 5
-    assert scores.filter("(Predicted_Rate IS NULL) <> (Population IS NULL)").count() == 0

@@ -142,10 +142,40 @@ def test_train_and_score(spark, stage):
     assert unknown.count() == 4
     assert unknown.filter("Predicted_Rate IS NOT NULL OR Priority_Level IS NOT NULL").count() == 0
     assert metrics["n_rows"] == 32 and metrics["rmse"] >= 0
+    # 7 years x 2 diseases of Lake have no population for one of three sexes
+    assert (metrics["n_train"], metrics["n_left_out"]) == (112, 14)
     test = read_rows(spark, f"{out}/parquet/test").filter("Population IS NOT NULL")
     assert read_model(f"{out}/model").transform(test).count() == 32
 
 
+@pytest.mark.parametrize("empty", ["train", "test"])
+def test_a_set_of_nothing_but_the_header(spark, many_raw, tmp_path, empty):
+    (tmp_path / "none.csv").write_text(RAW_HEADER + "\n")
+    paths = {name: f"{many_raw}/{name}.csv" for name in ("train", "test")}
+    paths[empty] = str(tmp_path / "none.csv")
+    out = str(tmp_path / "out")
+    report = preprocess(spark, paths["train"], paths["test"], out)
+    assert {r["dataset"] for r in report.collect()} == {"train", "test"} - {empty}
+    rows_read = read_rows(spark, f"{out}/parquet/{empty}")
+    assert rows_read.dtypes == [(f.name, f.dataType.simpleString()) for f in CLEAN]
+    assert rows_read.count() == 0
+    assert read_clean_csv(spark, f"{out}/csv/{empty}").count() == 0
+    if empty == "train":
+        with pytest.raises(ValueError, match="no county row .* to fit on"):
+            train_and_score(spark, out, out)
+    else:
+        metrics = train_and_score(spark, out, out).collect()[0]
+        assert (metrics["n_rows"], metrics["rmse"], metrics["n_train"]) == (0, None, 112)
+        train, test, predicted = load_tables(spark, out, paths["train"], paths["test"])
+        assert (train.count(), test.count(), predicted.count()) == (7 * 18, 0, 0)
+
+
+def test_rows_without_any_year(spark, cleaned, tmp_path):
+    write_clean(cleaned.withColumn("Year", F.lit(None).cast("int")), str(tmp_path / "clean"))
+    again = read_rows(spark, str(tmp_path / "clean"))
+    assert dict(again.dtypes)["Year"] == "int" and again.filter("Year IS NULL").count() == 14
+
+
 def test_screens(spark, stage):
     out, _ = stage
     train = read_rows(spark, f"{out}/parquet/train")
