@@ -13,11 +13,12 @@ the network is applied again until the result is below it (cycle walking).
 =========  ============================================  =======================
 kind       validated by                                  permuted
 =========  ============================================  =======================
-card       Luhn check digit, 13 to 19 digits             all but first and check
-phone      North American numbering plan                 area, exchange, line
+phone      country code or brackets, or the North        area, exchange, line
+           American numbering plan
 ssn        United States ranges                          all digits
 ip         four numbers below 256                        the 32-bit address
 date       calendar, years 1900 to 2099                  the day
+card       Luhn check digit, 13 to 19 digits             all but first and check
 email      address syntax                                letters, digits of name
 key        access key syntax                             all after the prefix
 secret     a named value (password, token, ...)          letters and digits
@@ -28,6 +29,18 @@ in the order of the table, and what one has found the next does not see. Equal
 phone numbers, cards and dates are linked even where they are laid out
 differently.
 
+Digits in groups beside others (a card and its expiry, say) are tried as a card
+from each group to each other, 13 to 19 digits in groups of two at least, and as
+a whole: one group first, then groups of 4-4-4-4 and 4-6-5, then the longest. A
+permutation leads from phones of the numbering plan to such phones and from
+others to others, and keeps whether a day of the month is above 12, so that the
+result is read as what it stands for was: numbers are day-month-year where that
+is a date, and month-day-year where only that is one. A card whose pseudonym
+would make a card of other groups is moved on until it does not; only such a
+card has another pseudonym there than elsewhere. Phones, ssn and dates are taken
+out before, so that they cannot become part of a card; a card in groups as of a
+phone, ssn or date can still become one.
+
 Nulls stay null, empty texts empty; each row is worked on by itself, also
 repeated ones and null ids, over its whole text. Extra columns are ignored; an
 empty table gives an empty result.
@@ -91,7 +104,7 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
-def _laid_out(layout: str, digits: str) -> str:
+def _laid_out(layout, digits: str) -> str:
     """``layout`` with its digits replaced in order."""
     rest = iter(digits)
     return "".join(next(rest) if c.isdigit() else c for c in layout)
@@ -101,20 +114,81 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
-def _card(found, keyed, back):
-    digits = _digits(found[0])
-    if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1]:
-        return None
+_GROUP = re.compile(r"\d+")
+_CARD_LAYOUTS = ((4, 4, 4, 4), (4, 6, 5))
+
+
+def _luhn(digits: str) -> bool:
+    return luhn_digit(digits[:-1]) == digits[-1]
+
+
+def _card_spans(sizes: list[int]) -> list[tuple[int, int]]:
+    """First group and the group after the last of what may be a card, the likeliest first."""
+    spans = {}
+    for first in range(len(sizes)):
+        n = 0
+        for last in range(first, len(sizes)):
+            n += sizes[last]
+            if sizes[last] < 2 or n > 19:
+                break
+            if n >= 13:
+                spans[first, last + 1] = n
+    if 13 <= sum(sizes) <= 19:
+        spans[0, len(sizes)] = sum(sizes)
+
+    def rank(span):
+        layout = tuple(sizes[slice(*span)])
+        kind = 0 if len(layout) == 1 else 1 if layout in _CARD_LAYOUTS else 2
+        return kind, -spans[span], span
+
+    return sorted(spans, key=rank)
+
+
+def _moved_card(digits: str, keyed, back) -> str:
     middle = digits[1:-1]
     moved = keyed.move(int(middle), 10 ** len(middle), "card", back)
     body = digits[0] + str(moved).zfill(len(middle))
-    return _laid_out(found[0], body + luhn_digit(body))
+    return body + luhn_digit(body)
+
+
+def _cards(found, keyed, back):
+    """Start, end and new value of each card in a run of digit groups."""
+    run = list(found[0])
+    groups = [group.span() for group in _GROUP.finditer(found[0])]
+
+    def place(span):
+        return slice(groups[span[0]][0], groups[span[1] - 1][1])
+
+    def digits(span):
+        return _digits("".join(run[place(span)]))
+
+    cards, used, refused = [], set(), {}
+    for span in _card_spans([end - start for start, end in groups]):
+        if not used.isdisjoint(range(*span)):
+            continue
+        if _luhn(digits(span)):
+            cards.append(span)
+            used.update(range(*span))
+        else:
+            for group in range(*span):
+                refused.setdefault(group, set()).add(span)
+    # What was refused must be refused in the result too, or the way back is lost.
+    for span in reversed(cards) if back else cards:
+        beside = set().union(*(refused.get(group, ()) for group in range(*span)))
+        while True:
+            run[place(span)] = _laid_out(run[place(span)], _moved_card(digits(span), keyed, back))
+            if not any(_luhn(digits(other)) for other in beside):
+                break
+    for span in cards:
+        at = place(span)
+        yield found.start() + at.start, found.start() + at.stop, "".join(run[at])
 
 
 def _walked(value: int, size: int, kind: str, allowed, keyed, back):
-    """The permutation restricted to the numbers that are allowed."""
+    """The permutation among the numbers that are allowed, or among those that are not."""
+    own = allowed(value)
     value = keyed.move(value, size, kind, back)
-    while not allowed(value):
+    while allowed(value) != own:
         value = keyed.move(value, size, kind, back)
     return value
 
@@ -127,7 +201,7 @@ def _phone_allowed(value: int) -> bool:
 def _phone(found, keyed, back):
     prefix, rest = found[1] or "", found[0][len(found[1] or "") :]
     value = int(_digits(rest))
-    if not _phone_allowed(value):
+    if not (prefix or rest[0] == "(" or _phone_allowed(value)):
         return None
     moved = _walked(value, 10**10, "phone", _phone_allowed, keyed, back)
     return prefix + _laid_out(rest, str(moved).zfill(10))
@@ -155,22 +229,37 @@ def _ip(found, keyed, back):
     return ".".join(map(str, keyed.move(value, 1 << 32, "ip", back).to_bytes(4, "big")))
 
 
+def _day(number: int) -> datetime.date:
+    return datetime.date.fromordinal(number + _FIRST_DAY)
+
+
+def _late(number: int) -> bool:
+    """Whether the day cannot be taken for a month."""
+    return _day(number).day > 12
+
+
 def _date(found, keyed, back):
     groups = found.groupdict()
     year_first = groups["y1"] is not None
-    names = ("y1", "m1", "d1") if year_first else ("y2", "m2", "d2")
-    try:
-        day = datetime.date(*(int(groups[name]) for name in names)).toordinal() - _FIRST_DAY
-    except ValueError:
+    orders = ("y1 m1 d1",) if year_first else ("y2 m2 d2", "y2 d2 m2")
+    for order in orders:
+        try:
+            day = datetime.date(*(int(groups[name]) for name in order.split()))
+            break
+        except ValueError:
+            continue
+    else:
         return None
-    if not 0 <= day < _DAYS:
+    number = day.toordinal() - _FIRST_DAY
+    if not 0 <= number < _DAYS:
         return None
-    moved = datetime.date.fromordinal(keyed.move(day, _DAYS, "date", back) + _FIRST_DAY)
+    moved = _day(_walked(number, _DAYS, "date", _late, keyed, back))
     if year_first:
         sign = groups["s1"]
         return f"{moved.year:04d}{sign}{moved.month:02d}{sign}{moved.day:02d}"
     sign = groups["s2"]
-    return f"{moved.day:02d}{sign}{moved.month:02d}{sign}{moved.year:04d}"
+    first, second = (moved.day, moved.month) if order == orders[0] else (moved.month, moved.day)
+    return f"{first:02d}{sign}{second:02d}{sign}{moved.year:04d}"
 
 
 _HEX = "0123456789abcdef"
@@ -210,11 +299,10 @@ def _secret(found, keyed, back):
 
 
 KINDS = (
-    ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), _card),
     (
         "phone",
         re.compile(
-            r"(?<![\w.+(-])(\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)"
+            r"(?<![\w.+-])(\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)"
         ),
         _phone,
     ),
@@ -228,6 +316,7 @@ KINDS = (
         ),
         _date,
     ),
+    ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,}(?![\w-]|\.\d)"), _cards),
     ("email", re.compile(r"(?<![\w.+-])([\w.+-]+)(@(?:[\w-]+\.)+[A-Za-z]{2,})", re.ASCII), _email),
     ("key", re.compile(r"(?<!\w)(AKIA|ASIA)([A-Z0-9]{16})(?!\w)"), _key),
     (
@@ -254,10 +343,12 @@ def pseudonymised(
     for kind, pattern, replaced in KINDS:
         taken = []
         for found in pattern.finditer(hidden):
-            value = replaced(found, keyed, back)
-            if value is not None:
-                changes.append((found.start(), found.end(), kind, value))
-                taken.append((found.start(), found.end()))
+            values = replaced(found, keyed, back)
+            if isinstance(values, str):
+                values = [(found.start(), found.end(), values)]
+            for start, end, value in values or ():
+                changes.append((start, end, kind, value))
+                taken.append((start, end))
         for start, end in taken:
             hidden = hidden[:start] + "\0" * (end - start) + hidden[end:]
     parts, spans, at, moved = [], [], 0, 0

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from caseframe.llm.pii import Permutation, luhn_digit, pseudonymise, pseudonymised
-from tests.llm.helpers import documents, small
+from tests.llm.helpers import documents, generator, small
 
 KEYED = Permutation(b"test")
 VALUES = [
@@ -84,3 +84,39 @@ def test_edges(spark):
     assert found[0]["text"] is None and found[1]["text"] == ""
     assert len({row["text"] for row in found[2:5]}) == 1
     assert pseudonymise(documents(spark, []), b"k").count() == 0
+
+
+@pytest.mark.parametrize(
+    "before, value, after",
+    [
+        ("", "+1 (017) 555-7713", ""), ("", "(132) 555-1352", ""), ("call (", "366-555-9807", ")"),
+        ("", "4539578763621486", " 12/27"), ("", "4539 5787 6362 1486", " 123"),
+        ("12 ", "4539-5787-6362-1486", " 7"), ("", "12/27/2024", ""), ("", "02-29-2024", ""),
+    ],
+)
+def test_values_beside_other_digits_or_out_of_plan(before, value, after):
+    changed, spans = pseudonymised(before + value + after, KEYED)
+    assert [(start, end) for _, start, end in spans] == [(len(before), len(before + value))]
+    new = changed[len(before) : len(before + value)]
+    assert changed == before + new + after and new != value
+    assert pseudonymised(value, KEYED)[0] == new
+    assert pseudonymised(changed, KEYED, back=True)[0] == before + value + after
+
+
+def test_month_first_is_linked_to_the_same_day():
+    one, other = pseudonymised("2024-12-27", KEYED)[0], pseudonymised("12/27/2024", KEYED)[0]
+    assert datetime.date.fromisoformat(one).strftime("%m/%d/%Y") == other
+
+
+def test_runs_of_digit_groups_turn_back():
+    rng = generator(5)
+    n = 0
+    for _ in range(400):
+        sizes = [rng.choice([1, 2, 3, 4, 4, 6, 13, 16]) for _ in range(rng.randrange(1, 14))]
+        groups = ["".join(rng.choice("0123456789") for _ in range(size)) for size in sizes]
+        text = "".join(group + rng.choice(" -") for group in groups) + " end"
+        changed, spans = pseudonymised(text, KEYED)
+        n += len(spans)
+        again, more = pseudonymised(changed, KEYED, back=True)
+        assert again == text and len(more) == len(spans)
+    assert n > 100
