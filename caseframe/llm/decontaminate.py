@@ -1,16 +1,19 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
-* Passages are windows of 16, 32 or 64 words, every eight words. Words are runs
+* Passages are windows of 16, 24, 32, 48 or 64 words, every eight words. Words are runs
   of letters and digits, hashed to ``FEATURES`` columns, and weighted by their inverse
   document frequency over all documents.
 * The latent space comes from a randomised singular value decomposition of the
   passages' TF-IDF matrix: random projections, summed over the tasks, with one
   power iteration. It is fitted on the documents with the smallest hashes of
   their ids, ``FITTED`` at most, and on the benchmark.
-* Search: every passage of every document is projected and compared with the
-  items of its length. Coordinates are divided by their singular values, so
-  that unrelated passages are close to perpendicular.
-* Candidates of at least ``COSINE`` are checked: the longest common subsequence
+* Search: longer items are cut into equal parts of 64 words at most, of which one
+  at least holds the asked share of its words if the whole item does. Every
+  passage of every document is projected and compared with the parts of its
+  length. Coordinates are divided by their singular values, so that unrelated
+  passages are close to perpendicular.
+* Candidates of at least ``COSINE``, for parts shorter than the shortest window
+  less by the root of their share of it, are checked: the longest common subsequence
   of the item's words and the passage with its surroundings, where enough of the
   item's rarest words occur for it to be as long as asked. A document is
   contaminated if it has ``LCS`` of the item's words in order, or ``WEAK`` of
@@ -39,8 +42,8 @@ RANK = 64
 FITTED = 20_000
 ITEMS = 4096
 STRIDE = 8
-WINDOWS = (16, 32, 64)
-COSINE = 0.5
+WINDOWS = (16, 24, 32, 48, 64)
+COSINE = 0.35
 LCS = 0.8
 WEAK = 0.6
 LEAST_ANSWER = 3
@@ -182,11 +185,18 @@ class Items:
                     features.append(_features(own))
             at += part.num_rows
         self._find_rarest(idf)
-        lengths = np.array([len(own) for own in self.words])
+        parts = [
+            (item, part)
+            for item, own in enumerate(features)
+            for part in np.array_split(own, -(-len(own) // WINDOWS[-1]))
+        ]
+        self.item_of = [item for item, _ in parts]
+        lengths = np.array([len(part) for _, part in parts])
         edges = [(a * b) ** 0.5 for a, b in zip(WINDOWS, WINDOWS[1:], strict=False)]
         kind = np.searchsorted(edges, lengths)
         self.of_window = [np.flatnonzero(kind == i) for i in range(len(WINDOWS))]
-        vectors = [space[own].sum(axis=0) for own in features]
+        self.least = COSINE * np.sqrt(np.minimum(lengths / WINDOWS[0], 1))
+        vectors = [space[part].sum(axis=0) for _, part in parts]
         self.vectors = _unit(np.array(vectors).reshape(-1, space.shape[1]))
 
     def _find_rarest(self, idf: np.ndarray) -> None:
@@ -194,7 +204,7 @@ class Items:
         rarest, self.must = [], []
         for own in self.words:
             missing = len(own) - int(np.ceil(WEAK * len(own) - 1e-9))
-            some = np.argsort(-idf[_features(own)], kind="stable")[: missing + 3]
+            some = np.argsort(-idf[_features(own)], kind="stable")[: missing + 3 + len(own) // 4]
             rarest.append(own[some])
             self.must.append(len(some) - missing)
         self.rare, place = np.unique(
@@ -203,17 +213,15 @@ class Items:
         ends = np.cumsum([len(own) for own in rarest], dtype=int)
         self.rare_of = [np.unique(part) for part in np.split(place, ends[:-1])] if rarest else []
 
-    def places(self, hashes: np.ndarray) -> list[np.ndarray]:
-        """For each item, where its rarest words are."""
-        if not len(self.rare):
-            return []
-        at = np.minimum(np.searchsorted(self.rare, hashes), len(self.rare) - 1)
-        where = np.flatnonzero(self.rare[at] == hashes)
+    def places(self, hashes: np.ndarray):
+        """A function that gives where an item's rarest words are."""
+        at = np.minimum(np.searchsorted(self.rare, hashes), max(len(self.rare) - 1, 0))
+        where = np.flatnonzero(self.rare[at] == hashes) if len(self.rare) else at[:0]
         word = at[where]
         order = np.argsort(word, kind="stable")
         bounds = np.searchsorted(word[order], np.arange(len(self.rare) + 1))
         of_word = [where[order[a:b]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return [np.sort(np.concatenate([of_word[w] for w in own])) for own in self.rare_of]
+        return lambda item: np.sort(np.concatenate([of_word[w] for w in self.rare_of[item]]))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -283,22 +291,28 @@ def _matches(found, features, space: np.ndarray, items: Items):
             rows = use[low : low + _ROWS]
             passages = _unit((pieces[end[rows]] - pieces[rows]).astype(np.float32))
             cosines = passages @ vectors
-            near = cosines >= COSINE
-            for column, item in enumerate(some.tolist()):
+            near = cosines >= items.least[some]
+            checked: dict[tuple[int, int, int], tuple[float, bool]] = {}
+            for column, item in enumerate(items.item_of[part] for part in some.tolist()):
                 close = np.flatnonzero(near[:, column])
+                if not len(close):
+                    continue
                 place = rows[close]
                 text = owner[place]
                 n = len(items.words[item])
                 slack = max(n, STRIDE)
                 begin = np.maximum(found.first[text], starts[place] - slack)
                 stop = np.minimum(found.first[text + 1], starts[place] + window + slack)
-                there = np.searchsorted(rare[item], stop) - np.searchsorted(rare[item], begin)
+                where = rare(item)
+                there = np.searchsorted(where, stop) - np.searchsorted(where, begin)
                 for one in np.flatnonzero(there >= items.must[item]).tolist():
-                    other = found.hashes[begin[one] : stop[one]].tolist()
-                    ratio = common_subsequence(items.masks[item], n, other) / n
-                    if ratio < WEAK:
-                        continue
-                    answer = bool(items.answers[item]) and _contains(other, items.answers[item])
+                    key = item, int(begin[one]), int(stop[one])
+                    if key not in checked:
+                        other = found.hashes[key[1] : key[2]].tolist()
+                        ratio = common_subsequence(items.masks[item], n, other) / n
+                        answer = ratio >= WEAK and bool(items.answers[item])
+                        checked[key] = ratio, answer and _contains(other, items.answers[item])
+                    ratio, answer = checked[key]
                     if ratio >= LCS or answer:
                         own = int(text[one])
                         at_word = int(starts[place[one]] - found.first[own])

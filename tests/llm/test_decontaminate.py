@@ -79,3 +79,31 @@ def test_edges(spark):
     assert {(row["doc_id"], row["item_id"]) for row in found.collect()} == {(None, 1), (4, 1), (6, 1)}
     assert decontaminate.contaminated(documents(spark, []), items(spark, bench)).count() == 0
     assert decontaminate.contaminated(documents(spark, rows), items(spark, [])).count() == 0
+
+
+def test_gate_finds_what_the_common_subsequence_finds(spark):
+    rng = generator(12)
+
+    def common(n):
+        return [f"w{int(3000 ** rng.random())}" for _ in range(n)]
+
+    bench, docs = [], []
+    for length in (15, 24, 40, 64, 96, 250, 600, 1000):
+        for percent in (60, 80, 100):
+            for insert in (0, 1):
+                item = common(length)
+                kept = set(rng.sample(range(length), -(-length * percent // 100)))
+                # The answer stays, so that 60 percent are enough.
+                words = [
+                    word
+                    for at, own in enumerate(item)
+                    for word in ([own] if at in kept or at >= length - 3 else common(insert))
+                ]
+                at = len(bench)
+                bench.append((at, " ".join(item[:-3]) + ". " + " ".join(item[-3:])))
+                docs.append((at, " ".join([*common(rng.randrange(90)), *words, *common(rng.randrange(90))])))
+    docs += [(1000 + at, " ".join(common(200))) for at in range(300)]
+    found = decontaminate.contaminated(documents(spark, docs), items(spark, bench)).collect()
+    own = {row["doc_id"] for row in found if row["doc_id"] == row["item_id"]}
+    assert own == set(range(len(bench)))
+    assert all(row["lcs_ratio"] >= decontaminate.WEAK for row in found)
