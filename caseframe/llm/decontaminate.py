@@ -5,8 +5,7 @@
   document frequency over all documents.
 * The latent space comes from a randomised singular value decomposition of the
   passages' TF-IDF matrix: random projections, summed over the tasks, with one
-  power iteration. It is fitted on the documents with the smallest hashes of
-  their ids, ``FITTED`` at most, and on the benchmark.
+  power iteration. It is fitted on all documents and the benchmark.
 * Search: longer items are cut into equal parts of 64 words at most, of which one
   at least holds the asked share of its words if the whole item does. Every
   passage of every document is projected and compared with the parts of its
@@ -39,7 +38,6 @@ from caseframe.llm.work import array_sum, texts
 
 FEATURES = 1 << 14
 RANK = 64
-FITTED = 20_000
 ITEMS = 4096
 STRIDE = 8
 WINDOWS = (16, 24, 32, 48, 64)
@@ -148,11 +146,11 @@ def _gram(idf: np.ndarray, space: np.ndarray):
     return run
 
 
-def latent_space(sample: DataFrame, idf: np.ndarray) -> np.ndarray:
+def latent_space(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Right singular vectors over singular values, times the words' weights."""
 
     def applied(space):
-        partial = sample.mapInArrow(_as_pandas(_gram(idf, space)), "total binary")
+        partial = rows.mapInArrow(_as_pandas(_gram(idf, space)), "total binary")
         return array_sum(partial, "total", np.zeros(space.shape, np.float32)).astype(float)
 
     start = np.random.default_rng(0).normal(size=(FEATURES, RANK))
@@ -339,7 +337,7 @@ def _searched(space: np.ndarray, items: Items):
     return run
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, fitted: int = FITTED) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and benchmark item whose passage it holds."""
     spark = documents.sparkSession
     rows = texts(documents)
@@ -352,11 +350,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, fitted: int = FITTE
         np.zeros(FEATURES + 1, np.int64),
     )
     idf = np.log((counts[FEATURES] + 1) / (counts[:FEATURES] + 1)) + 0.1
-    ids = rows.select("doc_id").dropna().distinct()
-    some = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted)
-    # The sample is of bounded size, so its ids may be broadcast.
-    sample = rows.join(F.broadcast(some), "doc_id", "left_semi").select("text")
-    space = latent_space(sample.unionByName(items.select("text")), idf)
+    space = latent_space(rows.select("text").unionByName(items.select("text")), idf)
     blocks = -(-items.count() // ITEMS)
     found = spark.createDataFrame([], _MATCH)
     for block in range(blocks):

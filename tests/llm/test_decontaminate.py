@@ -107,3 +107,18 @@ def test_gate_finds_what_the_common_subsequence_finds(spark):
     own = {row["doc_id"] for row in found if row["doc_id"] == row["item_id"]}
     assert own == set(range(len(bench)))
     assert all(row["lcs_ratio"] >= decontaminate.WEAK for row in found)
+
+
+def test_space_is_fitted_on_all_rows(spark, monkeypatch):
+    seen = []
+    fit = decontaminate.latent_space
+    monkeypatch.setattr(
+        decontaminate, "latent_space", lambda rows, idf: seen.append(rows.count()) or fit(rows, idf)
+    )
+    df = documents(spark, []).unionByName(
+        spark.range(30_000).selectExpr(
+            "id doc_id", "'a b' text", "'en' lang", "'s' source", "3L n_chars"
+        )
+    )
+    decontaminate.contaminated(df, items(spark, [(1, "a b c d")]))
+    assert seen == [30_001]
