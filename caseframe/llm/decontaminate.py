@@ -24,7 +24,8 @@ is no cap on candidates.
 
 Null and empty texts and texts without letters or digits have no passages. Items without
 words match nothing. Rows that repeat an id are searched each, and give a row
-per item with the larger ratio. Null ids are searched and reported as null.
+per item with the larger ratio. Null ids, also of items, are searched and
+reported as null.
 Extra columns are ignored; empty tables give an empty result.
 """
 
@@ -176,7 +177,8 @@ class Items:
             for i in range(part.num_rows):
                 own = found.hashes[found.first[i] : found.first[i + 1]]
                 if len(own):
-                    self.ids.append(int(table["item_id"].iat[at + i]))
+                    own_id = table["item_id"].iat[at + i]
+                    self.ids.append(None if pd.isna(own_id) else int(own_id))
                     self.words.append(own)
                     self.answers.append(_answer(table["text"].iat[at + i]))
                     self.masks.append(_masks(own.tolist()))
@@ -330,7 +332,7 @@ def _searched(space: np.ndarray, items: Items):
                 ids = part.column("doc_id").to_pylist()
                 rows += [(ids[text], items.ids[item], *rest) for (text, item), rest in best.items()]
             frame = pd.DataFrame(rows, columns=[field.split()[0] for field in _MATCH.split(", ")])
-            kinds = {"doc_id": "Int64", "item_id": "int64", "answer_found": "bool", "at_word": "int64"}
+            kinds = {"doc_id": "Int64", "item_id": "Int64", "answer_found": "bool", "at_word": "int64"}
             kinds |= {"cosine": "float64", "lcs_ratio": "float64"}
             yield frame.astype(kinds)
 
@@ -343,7 +345,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = texts(documents)
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).dropna()
+    ).dropna(subset=["text"])
     counts = array_sum(
         rows.mapInArrow(_as_pandas(_document_counts), "total binary"),
         "total",
@@ -354,7 +356,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = -(-items.count() // ITEMS)
     found = spark.createDataFrame([], _MATCH)
     for block in range(blocks):
-        part = items.filter(F.expr(f"pmod(xxhash64(item_id), {blocks}) = {block}")).toPandas()
+        part = items.filter(F.expr(f"pmod(xxhash64(item_id), {blocks}) = {block}"))
+        # As strings, for pandas would make floats of ids beside a null.
+        part = part.withColumn("item_id", F.col("item_id").cast("string")).toPandas()
         search = _as_pandas(_searched(space, Items(part, space, idf)))
         found = found.unionByName(rows.mapInArrow(search, _MATCH))
     order = F.struct("lcs_ratio", "cosine", F.col("at_word").alias("_at"))
@@ -371,6 +375,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` in which no benchmark item was found, all columns as they were."""
-    found = contaminated(documents, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    same = F.col("doc_id").cast("long") == F.col("_found")
-    return documents.join(found.hint("merge"), same, "left_anti")
+    # Rows are known by a 64-bit hash of id and text, as ids may be null or repeat.
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.xxhash64(F.col("doc_id").cast("long"), text)
+    found = contaminated(documents.select(row.alias("doc_id"), text.alias("text")), benchmark)
+    found = found.select(F.col("doc_id").alias("_found")).distinct()
+    return documents.join(found.hint("merge"), row == F.col("_found"), "left_anti")

@@ -122,3 +122,13 @@ def test_space_is_fitted_on_all_rows(spark, monkeypatch):
     )
     decontaminate.contaminated(df, items(spark, [(1, "a b c d")]))
     assert seen == [30_001]
+
+
+def test_null_and_repeated_ids(spark):
+    bench = [(None, sentence(generator(1), 20)), (2**53 + 1, sentence(generator(2), 20))]
+    rows = [(None, bench[0][1]), (None, "clean"), (4, bench[1][1]), (4, "clean too"), (5, None)]
+    df = documents(spark, rows)
+    found = decontaminate.contaminated(df, items(spark, bench)).collect()
+    assert {(row["doc_id"], row["item_id"]) for row in found} == {(None, None), (4, 2**53 + 1)}
+    kept = decontaminate.without_contaminated(df, items(spark, bench)).collect()
+    assert {(row["doc_id"], row["text"]) for row in kept} == {(None, "clean"), (4, "clean too"), (5, None)}
