@@ -10,10 +10,11 @@ make a phrase, the text from the first window's start to the last one's end.
 * The dictionary holds each different phrase once. A trigger that occurs once in
   the corpus ends there: its windows are unique. That is most of a corpus.
 * A phrase that occurs twice repeats in all its windows. Where a trigger has
-  different phrases, the text of one occurrence of each is fetched, and the
-  dictionary's suffixes, 200 bytes deep, are put in order within the trigger.
-  Equal neighbours are the repeated windows. Phrases reach to the end of their
-  last window, so no order of the parse is needed to tell suffixes apart.
+  different phrases, the text of one occurrence of each is fetched, and 64-bit
+  hashes of its windows are sorted within the trigger. Equal neighbours are the
+  repeated windows. No suffix array is made, of the dictionary or of the parse:
+  only equality over ``LENGTH`` bytes is asked, which the hashes answer up to a
+  collision, and phrases reach to the end of their last window.
 * The parse then tells each text which of its windows repeat.
 
 A trigger with more than ``HOT`` different phrases, such as the edge of a very
@@ -166,7 +167,7 @@ def _runs(frame: pd.DataFrame, row: np.ndarray, place: np.ndarray) -> pd.DataFra
 
 
 def _ordered(length: int):
-    """Order the suffixes of each trigger's phrases and mark equal neighbours."""
+    """Sort the window hashes of each trigger's phrases and mark equal neighbours."""
 
     def run(frames):
         for frame in whole_groups(frames, "trigger"):
