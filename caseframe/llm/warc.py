@@ -11,8 +11,8 @@ repeated task leaves behind is never read.
 
 Reading is sequential and holds one record at a time: a member is inflated piece
 by piece, the record's content length frames its block, and its payload's digest
-is verified. A revisit has no payload; its digest and size are those that the
-response had, and the response is looked up to verify them.
+is verified. A revisit has no payload; its digest and size are those of its own
+headers. They are not compared with the response that it refers to.
 
 A null html is an empty payload, a null url an empty one, and control characters
 of urls are percent-encoded. A null page id is written as an empty one and read
