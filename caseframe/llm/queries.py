@@ -10,6 +10,7 @@ from caseframe.llm import (
     decontaminate,
     exact_dedup,
     lm,
+    merkle,
     near_dedup,
     packing,
     pii,
@@ -87,6 +88,21 @@ def op10_quality_classifier(spark, sf_dir):
     )
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    """Proofs of all documents, checked against rows of which some have other text now."""
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = merkle.leaf_digest(text=F.translate("text", upper, upper.lower()))
+    leaves = merkle.leaves_of(
+        _table(spark, sf_dir, "documents"), changed_leaf=F.when(changed, lowered)
+    )
+    found = merkle.manifest(leaves).proofs()
+    offered = found.withColumn("offered", F.coalesce("changed_leaf", "leaf"))
+    return merkle.verify(offered, "offered").select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -100,9 +116,31 @@ QUERIES = {
         op8_warc_round_trip,
         op9_chat_preference_pairs,
         op10_quality_classifier,
+        op13_merkle_manifest,
     )
 }
 
+def _leaf(text: str) -> str:
+    parts = (
+        f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+        for value in ("doc_id", "source", "lang", "n_chars", text)
+    )
+    return f"sha256({' || '.join(parts)})"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 bit by bit: a byte comes in at the first of its eight steps."""
+    hexed = f"hex(encode({text}))"
+    steps = (
+        f"list_transform(range(4 * strlen({hexed})), lambda s: CASE WHEN s % 8 = 0 THEN"
+        f" CAST('0x' || substr({hexed}, s // 4 + 1, 2) AS BIGINT) ELSE 0 END)"
+    )
+    return (
+        f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {steps},"
+        " lambda crc, byte: xor(xor(crc, byte) >> 1, 3988292384 * (xor(crc, byte) & 1))), 4294967295)"
+    )
+
+
 ORACLES = {
     "op6_exact_dedup": """
         SELECT doc_id,
@@ -113,6 +151,66 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+                   CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN
+                     {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                   END AS changed
+            FROM documents
+        ), placed AS (
+            SELECT *, row_number() OVER (
+                       PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY tree) AS size
+            FROM leaves
+        ), nodes AS (
+            SELECT tree, 0 AS level, place, size, leaf AS digest FROM placed
+            UNION ALL
+            SELECT tree, level + 1, place // 16, (any_value(size) + 15) // 16,
+                   sha256(string_agg(digest, '' ORDER BY place))
+            FROM nodes WHERE size > 1 GROUP BY tree, level, place // 16
+        ), subroots AS (
+            SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place,
+                   count(*) OVER () AS size
+            FROM nodes WHERE size = 1
+        ), top AS (
+            SELECT 0 AS level, place, size, digest FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 16, (any_value(size) + 15) // 16,
+                   sha256(string_agg(digest, '' ORDER BY place))
+            FROM top WHERE size > 1 GROUP BY level, place // 16
+        ), members AS (
+            SELECT p.tree, p.place, n.level, n.place AS sibling, n.digest,
+                   p.place // CAST(16 ** n.level AS BIGINT) AS own
+            FROM placed p JOIN nodes n ON n.tree = p.tree AND n.size > 1
+             AND n.place // 16 = p.place // CAST(16 ** (n.level + 1) AS BIGINT)
+            UNION ALL
+            SELECT p.tree, p.place, 1000 + n.level, n.place, n.digest,
+                   s.place // CAST(16 ** n.level AS BIGINT)
+            FROM placed p JOIN subroots s ON s.tree = p.tree JOIN top n ON n.size > 1
+             AND n.place // 16 = s.place // CAST(16 ** (n.level + 1) AS BIGINT)
+        ), steps AS (
+            SELECT tree, place, level,
+                   coalesce(string_agg(digest, '' ORDER BY sibling) FILTER (sibling < own), '')
+                       AS before,
+                   coalesce(string_agg(digest, '' ORDER BY sibling) FILTER (sibling > own), '')
+                       AS after
+            FROM members GROUP BY tree, place, level
+        ), paths AS (
+            SELECT tree, place, string_agg(before || after, '' ORDER BY level) AS proof,
+                   list(before || '|' || after ORDER BY level) AS path
+            FROM steps GROUP BY tree, place
+        ), told AS (
+            SELECT doc_id, leaf, s.digest AS subroot, (SELECT digest FROM top WHERE size = 1) AS root,
+                   sha256(coalesce(proof, '')) AS proof_sha256,
+                   list_reduce([coalesce(changed, leaf)] || coalesce(path, []), lambda digest, step:
+                       sha256(split_part(step, '|', 1) || digest || split_part(step, '|', 2)))
+                       AS folded_root
+            FROM placed p JOIN subroots s ON s.tree = p.tree
+            LEFT JOIN paths ON paths.tree = p.tree AND paths.place = p.place
+        )
+        SELECT *, folded_root = root AS verified FROM told
+    """,
     "op8_warc_round_trip": """
         WITH payloads AS (
             SELECT page_id, coalesce(html, '') AS payload,
