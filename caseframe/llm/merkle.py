@@ -42,6 +42,8 @@ BLOCK = FAN**HEIGHT
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<place:int,siblings:string>>"
 _HEX = 64
+#: Rows that go out together with their paths, some kilobytes each.
+_SLICE = 256
 
 
 def leaf_digest(**given: Column) -> Column:
@@ -213,56 +215,52 @@ def _roots(tiers: list[DataFrame]) -> DataFrame:
 # Paths
 
 
-def _with_paths(slots: pa.Table, path: list[dict], rows: pa.Table | None) -> pa.Table:
-    """A row per leaf of a block with its path: its siblings in the block, then the block's."""
-    n_leaves, size = slots.column("n_leaves")[0].as_py(), slots.column("size")[0].as_py()
-    nodes = np.frombuffer(slots.column("nodes")[0].as_py(), np.uint8).reshape(-1, 32)
-    levels = _siblings(nodes, n_leaves, size)
-    wanted = np.arange(n_leaves) if rows is None else rows.column("place").to_numpy() % BLOCK
-    steps = len(levels) + len(path)
-    places = np.empty((len(wanted), steps), np.int32)
-    siblings: list[str] = [""] * (len(wanted) * steps)
-    for step, (own, others) in enumerate(levels):
-        at = wanted // FAN**step
-        places[:, step] = own[at]
-        siblings[step::steps] = [others[place] for place in at.tolist()]
-    for step, above in enumerate(path, len(levels)):
-        places[:, step] = above["place"]
-        siblings[step::steps] = [above["siblings"]] * len(wanted)
-    found = pa.ListArray.from_arrays(
-        pa.array(np.arange(len(wanted) + 1, dtype=np.int32) * steps),
-        pa.StructArray.from_arrays(
-            [pa.array(places.ravel()), pa.array(siblings, pa.string())], ["place", "siblings"]
-        ),
-    )
-    if rows is None:
-        return pa.table({"place": pa.array(wanted), "path": found})
-    return rows.append_column("path", found)
+class _Block:
+    """A stored block with the path of its root; gives the paths of its leaves."""
+
+    def __init__(self, n_leaves: int, size: int, nodes: bytes, path: list[dict]):
+        slots = np.frombuffer(nodes, np.uint8).reshape(-1, 32)
+        self.n_leaves = n_leaves
+        self.levels = _siblings(slots, n_leaves, size)
+        self.path = path
+
+    def paths(self, wanted: np.ndarray) -> pa.ListArray:
+        """Of each leaf its siblings in the block, then those of the block's root."""
+        steps = len(self.levels) + len(self.path)
+        places = np.empty((len(wanted), steps), np.int32)
+        siblings: list[str] = [""] * (len(wanted) * steps)
+        for step, (own, others) in enumerate(self.levels):
+            at = wanted // FAN**step
+            places[:, step] = own[at]
+            siblings[step::steps] = [others[place] for place in at.tolist()]
+        for step, above in enumerate(self.path, len(self.levels)):
+            places[:, step] = above["place"]
+            siblings[step::steps] = [above["siblings"]] * len(wanted)
+        return pa.ListArray.from_arrays(
+            pa.array(np.arange(len(wanted) + 1, dtype=np.int32) * steps),
+            pa.StructArray.from_arrays(
+                [pa.array(places.ravel()), pa.array(siblings, pa.string())], ["place", "siblings"]
+            ),
+        )
 
 
 def _below(blocks: DataFrame) -> DataFrame:
     """``tree``, ``block``, ``path`` of the blocks under those given, and what these carry."""
+    names = ["tree", "block", "path", "subroot", "root"]
 
     def children(batches):
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = pa.Table.from_batches([batch.slice(at, 1)])
-                under = _with_paths(row, row.column("path")[0].as_py(), None)
-                for start in range(0, under.num_rows, 256):
-                    part = under.slice(start, 256)
-                    same = {
-                        name: pa.repeat(row.column(name)[0], part.num_rows)
+            for row in batch.to_pylist():
+                block = _Block(row["n_leaves"], row["size"], row["nodes"], row["path"])
+                for start in range(0, block.n_leaves, _SLICE):
+                    wanted = np.arange(start, min(start + _SLICE, block.n_leaves))
+                    tree, subroot, root = (
+                        pa.repeat(pa.scalar(row[name], pa.string()), len(wanted))
                         for name in ("tree", "subroot", "root")
-                    }
+                    )
+                    under = pa.array(wanted + row["block"] * BLOCK)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            same["tree"],
-                            part.column("place").combine_chunks(),
-                            part.column("path").combine_chunks(),
-                            same["subroot"],
-                            same["root"],
-                        ],
-                        ["tree", "block", "path", "subroot", "root"],
+                        [tree, under, block.paths(wanted), subroot, root], names
                     )
 
     return blocks.mapInArrow(
@@ -287,23 +285,51 @@ def _block_paths(tiers: list[DataFrame], above: DataFrame) -> DataFrame:
 
 
 def _row_paths(rows: DataFrame, blocks: DataFrame, carried: dict[str, str]) -> DataFrame:
-    """``carried`` columns of the rows, with ``path``, ``subroot`` and ``root``."""
+    """``carried`` columns of the rows, with ``path``, ``subroot`` and ``root``.
 
-    def prove(table, block):
-        found = _with_paths(block, block.column("path")[0].as_py(), table)
-        same = {name: block.column(name)[0].as_py() for name in ("subroot", "root")}
-        columns = {name: found.column(name) for name in (*carried, "path")}
-        return pa.table(
-            columns
-            | {name: pa.array([value] * table.num_rows, pa.string()) for name, value in same.items()}
-        )
+    A block and its rows meet in one partition, the block first; the rows follow
+    in pieces, so a task holds one block and one piece of its rows.
+    """
+    stored = ("n_leaves", "size", "nodes", "path", "subroot", "root")
+    kinds = dict(blocks.dtypes)
+    ends = rows.select(
+        "tree", "block", "place", *carried, *(F.lit(None).cast(kinds[name]).alias(name) for name in stored)
+    )
+    starts = blocks.select(
+        "tree",
+        "block",
+        F.lit(-1).cast("long").alias("place"),
+        *(F.lit(None).cast(kind).alias(name) for name, kind in carried.items()),
+        *stored,
+    )
+    met = (
+        ends.unionByName(starts)
+        .repartition("tree", "block")
+        .sortWithinPartitions("tree", "block", "place")
+    )
+
+    def prove(batches):
+        block, same = None, ()
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            cuts = np.flatnonzero(place < 0).tolist()
+            for start, end in zip([0, *cuts], [*cuts, len(place)], strict=True):
+                if start < end and place[start] < 0:
+                    row = batch.slice(start, 1).select(stored).to_pylist()[0]
+                    block = _Block(row["n_leaves"], row["size"], row["nodes"], row["path"])
+                    same = (row["subroot"], row["root"])
+                    start += 1
+                for at in range(start, end, _SLICE):
+                    part = batch.slice(at, min(_SLICE, end - at))
+                    paths = block.paths(place[at : at + part.num_rows] % BLOCK)
+                    told = [pa.repeat(pa.scalar(value, pa.string()), part.num_rows) for value in same]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(name) for name in carried), paths, *told],
+                        [*carried, "path", "subroot", "root"],
+                    )
 
     types = ", ".join(f"{name} {kind}" for name, kind in carried.items())
-    return (
-        rows.groupBy("tree", "block")
-        .cogroup(blocks.groupBy("tree", "block"))
-        .applyInArrow(prove, f"{types}, path {PATH}, subroot string, root string")
-    )
+    return met.mapInArrow(prove, f"{types}, path {PATH}, subroot string, root string")
 
 
 # The manifest
