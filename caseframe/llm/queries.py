@@ -15,6 +15,7 @@ from caseframe.llm import (
     packing,
     pii,
     repeats,
+    variants,
     warc,
 )
 
@@ -88,6 +89,10 @@ def op10_quality_classifier(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """Proofs of all documents, checked against rows of which some have other text now."""
     upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
@@ -116,10 +121,14 @@ QUERIES = {
         op8_warc_round_trip,
         op9_chat_preference_pairs,
         op10_quality_classifier,
+        op11_spelling_variants,
         op13_merkle_manifest,
     )
 }
 
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def _leaf(text: str) -> str:
     parts = (
         f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
@@ -151,11 +160,54 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_spelling_variants": f"""
+        WITH RECURSIVE runs AS (
+            SELECT doc_id, run, count(*) AS n
+            FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+                         unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run
+                  FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL
+        ), digests AS (
+            SELECT run, n, {_crc32("doc_id || ':' || run")} AS digest FROM runs
+        ), words AS (
+            SELECT CASE WHEN digest % 199 = 0
+                     THEN left(run, digest % length(run)) || substr(run, digest % length(run) + 2)
+                     ELSE run END AS word,
+                   CAST(sum(n) AS BIGINT) AS n
+            FROM digests GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5
+        ), shorter AS (
+            SELECT word, place, left(word, place) || substr(word, place + 2) AS rest
+            FROM (SELECT word, unnest(range(length(word))) AS place FROM words)
+        ), pairs AS (
+            SELECT a.word, b.word AS other FROM shorter a JOIN shorter b
+                ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+            UNION SELECT w.word, s.word FROM words w JOIN shorter s ON s.rest = w.word
+            UNION SELECT s.word, w.word FROM words w JOIN shorter s ON s.rest = w.word
+        ), ranked AS (
+            SELECT p.word, p.other, b.n AS other_n,
+                   row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, encode(p.other)) AS place,
+                   count(*) OVER (PARTITION BY p.word) AS n_near
+            FROM pairs p JOIN words b ON b.word = p.other
+        ), formed AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+                   CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+        ), chains AS (
+            SELECT word, word AS reached, 0 AS steps FROM formed
+            UNION ALL
+            SELECT c.word, f.form, steps + 1
+            FROM chains c JOIN formed f ON f.word = c.reached AND f.form IS NOT NULL
+        ), roots AS (
+            SELECT word, max_by(reached, steps) AS root FROM chains GROUP BY word
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
                    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN
-                     {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                     {_leaf(_LOWERED)}
                    END AS changed
             FROM documents
         ), placed AS (
