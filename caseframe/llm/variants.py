@@ -41,6 +41,7 @@ _TILE, _TILE_LETTERS = 1024, 1 << 16
 #: Counted words that a task holds before it passes them on.
 _HELD = 100_000
 _COMPARED = 1 << 14
+_SALTS = 32
 _LOWER, _HIGH = ord("a"), 0xC0
 _COLUMNS = 26 + 64
 
@@ -122,8 +123,11 @@ def _tiles(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.ceil(F.count(F.lit(1)) / F.floor(capacity)).cast("int").alias("n_tiles")
     )
     tile = F.pmod(F.xxhash64("word"), F.col("n_tiles")).cast("int")
+    # A block may hold most words; salted, its words learn the number of tiles in many tasks.
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     tiles = (
-        placed.join(blocks, "block")
+        placed.withColumn("salt", F.pmod(F.hash("word"), F.lit(_SALTS)))
+        .join(salted, ["block", "salt"])
         .groupBy("block", tile.alias("tile"))
         .agg(F.sort_array(F.collect_list(F.struct("word", "n"))).alias("members"))
     )
