@@ -9,6 +9,7 @@ from caseframe.llm import (
     classifier,
     decontaminate,
     exact_dedup,
+    html_text,
     lm,
     merkle,
     near_dedup,
@@ -93,6 +94,10 @@ def op11_spelling_variants(spark, sf_dir):
     return variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_html_extraction(spark, sf_dir):
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """Proofs of all documents, checked against rows of which some have other text now."""
     upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
@@ -122,6 +127,7 @@ QUERIES = {
         op9_chat_preference_pairs,
         op10_quality_classifier,
         op11_spelling_variants,
+        op12_html_extraction,
         op13_merkle_manifest,
     )
 }
@@ -203,6 +209,21 @@ ORACLES = {
         )
         SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
     """,
+    # The given pages share a layout whose article SQL can cut out.
+    "op12_html_extraction": r"""
+        WITH articles AS (
+            SELECT page_id, url, regexp_replace(regexp_replace(
+                       regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+                       '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g') AS inner_text
+            FROM pages
+        ), texts AS (
+            SELECT page_id, url, trim(regexp_replace(regexp_replace(
+                       replace(inner_text, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
+                       AS text
+            FROM articles
+        )
+        SELECT page_id, url, text, length(text) AS n_chars FROM texts
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,

@@ -1,0 +1,176 @@
+"""Blocks, the network's slopes, and main texts on held-out pages."""
+
+import re
+from html import unescape
+
+import numpy as np
+import pytest
+
+from caseframe.llm import html_text, recurrent
+from caseframe.llm.html_blocks import blocks
+from caseframe.llm.html_layouts import invented
+from caseframe.llm.queries import QUERIES
+from tests.conftest import TESTDATA
+from tests.llm.helpers import small
+
+PAGE = "page_id long, url string, html string"
+
+
+def told(page):
+    return [(block.text, block.path, block.linked) for block in blocks(page)]
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("", []),
+        ("a <b>b</b>c<p>d<p>e", ["a bc", "d", "e"]),
+        ("<p>x\n\t y&amp;z&nbsp;&#65;<br>w</p>", ["x y&z A w"]),
+        ("<script>var a = '</p><p>b';</script>c<style>p{}</style>", ["c"]),
+        ("<SCRIPT>x</Script >y<!-- <p>no</p> -->z", ["yz"]),
+        ("a<!-- never ends <p>b", ["a"]),
+        ("a <p class='never ends", ["a"]),
+        ("<p title='a>b' x=\"</p>\">c</p>", ["c"]),
+        ("1 < 2 & 3 > 2", ["1 < 2 & 3 > 2"]),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ("</div></p></b>a</i>b", ["ab"]),
+        ("<title>a <b> b</title><textarea><p></textarea>", ["a <b> b", "<p>"]),
+        ("<![CDATA[x]]>a<?php y ?>b<!DOCTYPE html>c", ["abc"]),
+        ("<p title=it's>a</p><p>b's</p>", ["a", "b's"]),
+    ],
+)
+def test_blocks(page, expected):
+    assert [text for text, _, _ in told(page)] == expected
+
+
+def test_paths_and_links():
+    page = "<div class='Side_bar adBox' id=x-1 hidden><p>a <a href=#>bc</a><li>d</div><p>e"
+    path = ["div", ".side", ".bar", ".ad", ".box", ".x", ".hidden"]
+    assert told(page) == [
+        ("a bc", [*path, "p"], 2),
+        ("d", [*path, "li"], 0),
+        ("e", ["p"], 0),
+    ]
+    deep = "<div>" * 3000 + "x" + "</div>" * 3000 + "<p>y"
+    assert [(text, len(path)) for text, path, _ in told(deep)] == [("x", 20), ("y", 1)]
+
+
+def test_slopes_agree_with_differences():
+    features = html_text.Features()
+    pages = invented([], 4, 1)
+    sequences = [features.sequence(page) for page, _ in pages]
+    labels = [own for _, own in pages]
+    model = {name: value.astype(np.float64) for name, value in recurrent.start(3).items()}
+    _, slopes = recurrent.slopes_of(model, sequences, labels)
+    rng = np.random.default_rng(0)
+    for name, value in model.items():
+        big = np.argsort(-np.abs(slopes[name]).ravel())[:50]
+        for at in rng.choice(big, min(3, len(big)), replace=False):
+            place = np.unravel_index(at, value.shape)
+            before = value[place]
+            ends = []
+            for step in (1e-3, -1e-3):
+                value[place] = before + step
+                ends.append(recurrent.slopes_of(model, sequences, labels)[0])
+            value[place] = before
+            measured = (ends[0] - ends[1]) / 2e-3
+            assert slopes[name][place] == pytest.approx(measured, rel=0.03, abs=2e-5), name
+
+
+def test_batching_does_not_change_scores():
+    features = html_text.Features()
+    sequences = [features.sequence(page) for page, _ in invented([], 30, 2)]
+    sequences.insert(7, features.sequence([]))
+    model = recurrent.start(4)
+    together = recurrent.scores(model, sequences)
+    alone = [recurrent.scores(model, [sequence], 1)[0] for sequence in sequences]
+    for a, b in zip(together, alone, strict=True):
+        assert np.allclose(a, b, atol=1e-5)
+    assert len(together[7]) == 0
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return html_text.learn(spark.read.parquet(f"{TESTDATA}/sf0.01/pages.parquet"))
+
+
+def plain_article(page):
+    inner = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
+    text = re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", inner))
+    return " ".join(unescape(text).split())
+
+
+def test_given_pages_have_their_articles(spark, model):
+    """All of sf0.1; the labeller saw at most 200 pages of sf0.01."""
+    pages = spark.read.parquet(f"{TESTDATA}/sf0.1/pages.parquet")
+    found = {row["page_id"]: row for row in html_text.extract(pages, model).collect()}
+    assert len(found) == pages.count()
+    for row in pages.collect():
+        own = found[row["page_id"]]
+        assert own["text"] == plain_article(row["html"])
+        assert own["n_chars"] == len(own["text"]) and own["url"] == row["url"]
+
+
+def test_held_out_layouts(model):
+    pages = invented([], 300, 12345)
+    features = html_text.Features()
+    chances = recurrent.scores(model, [features.sequence(page) for page, _ in pages])
+    wrong = sum(int(((c >= 0.5) != own).sum()) for c, (_, own) in zip(chances, pages, strict=True))
+    assert wrong <= 0.005 * sum(len(own) for _, own in pages)
+
+
+def test_pages_unlike_the_given_ones(model):
+    page = (
+        "<html><body><div id=nav><a href=/>Home</a> <a href=/n>News</a></div><div class='content'>"
+        "<h1>A title of the story</h1><p>The first paragraph is long enough, with commas &amp; more.</p>"
+        "<div class='ad'>Buy now the best thing ever, really.</div><p>Second paragraph goes on as one"
+        " would expect it to.</p><form><label>Name</label><button>Send</button></form></div>"
+        "<div id='comments'><p>I liked the story very much, it was long and good.</p></div>"
+        "<aside><p>Most read</p></aside><div class='cookie-notice'>We use cookies.</div>"
+        "<div class=footer>&copy; 2020 Foo</div></body></html>"
+    )
+    assert html_text.main_texts(model, [page, ""]) == [
+        "A title of the story The first paragraph is long enough, with commas & more."
+        " Second paragraph goes on as one would expect it to.",
+        "",
+    ]
+
+
+def test_edge_cases(spark, model):
+    long = "<article>" + "<p>Some words of text.</p>" * 20_000 + "</article><footer>x</footer>"
+    rows = [
+        (1, "u", None),
+        (2, None, ""),
+        (None, "v", "<nav><a href=x>Home</a></nav>"),
+        (3, "w", "<article><p>Same text here, twice.</p></article>"),
+        (3, "w", "<article><p>Same text here, twice.</p></article>"),
+        (4, "y", long),
+    ]
+    frame = spark.createDataFrame(rows, PAGE).selectExpr("*", "1 AS text", "'z' AS n_chars")
+    found = sorted(map(tuple, html_text.extract(frame, model).collect()), key=str)
+    same = "Same text here, twice."
+    whole = " ".join(["Some words of text."] * 20_000)
+    assert found == sorted(
+        [(1, "u", "", 0), (2, None, "", 0), (None, "v", "", 0)]
+        + [(3, "w", same, len(same))] * 2
+        + [(4, "y", whole, len(whole))],
+        key=str,
+    )
+
+
+def test_table_without_pages_or_labels(spark):
+    assert html_text.extract(spark.createDataFrame([], PAGE)).collect() == []
+    bare = spark.createDataFrame([(1, "u", "<p>Just a paragraph of text, as it stands.</p>")], PAGE)
+    assert html_text.extract(bare).collect()[0]["n_chars"] > 0
+
+
+def test_learning_does_not_depend_on_the_layout(spark):
+    pages = small(spark, "pages").filter("page_id < 20")
+    one = html_text.learn(pages.coalesce(1))
+    many = html_text.learn(pages.repartition(5))
+    assert all((one[name] == many[name]).all() for name in one)
+
+
+def test_query(spark):
+    assert "op12_html_extraction" in QUERIES
