@@ -59,8 +59,9 @@ class _Texts:
 
     def __init__(self, rng: random.Random, given: list[tuple[list[Block], np.ndarray]]):
         self.rng = rng
-        self.content = [b.text for page, own in given for b, w in zip(page, own, strict=True) if w]
-        self.beside = [b.text for page, own in given for b, w in zip(page, own, strict=True) if not w]
+        told = {(b.text, bool(w)) for page, own in given for b, w in zip(page, own, strict=True)}
+        self.content = sorted(text for text, wanted in told if wanted)
+        self.beside = sorted(text for text, wanted in told if not wanted)
 
     def _made_up(self, n: int) -> str:
         rng = self.rng
@@ -174,6 +175,37 @@ def _page(rng: random.Random, texts: _Texts) -> str:
     return f"<html>{title}<body>{before}{inner}{after}</body></html>"
 
 
+def _with_text(block: Block, text: str) -> Block:
+    return Block(text, block.path, len(text) if block.linked else 0)
+
+
+def reworded(
+    given: list[tuple[list[Block], np.ndarray]], seed: int
+) -> list[tuple[list[Block], np.ndarray]]:
+    """The pages with the texts of their blocks dealt anew, and a block now and then repeated.
+
+    Some blocks say what is said beside articles elsewhere.
+
+    Where markup says what a block is, its words must not outweigh that.
+    """
+    rng, made = random.Random(seed), []
+    stock = "|".join(_PHRASES.values()).split("|")
+    for page, labels in given:
+        texts = [block.text for block in page]
+        rng.shuffle(texts)
+        texts = [rng.choice(stock) if rng.random() < 0.1 else text for text in texts]
+        dealt = [_with_text(block, text) for block, text in zip(page, texts, strict=True)]
+        if rng.random() < 0.2 and labels.any():
+            at = rng.choice(np.flatnonzero(labels).tolist())
+            times = rng.choice([5, 20, 60, 120])
+            said = rng.choice([page[at].text, rng.choice(texts), " ".join(rng.choice(texts).split()[:3])])
+            same = _with_text(page[at], said)
+            dealt[at : at + 1] = [same] * times
+            labels = np.insert(labels, at, [True] * (times - 1))
+        made.append((dealt, labels))
+    return made
+
+
 def invented(
     given: list[tuple[list[Block], np.ndarray]], n: int, seed: int
 ) -> list[tuple[list[Block], np.ndarray]]:

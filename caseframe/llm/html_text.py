@@ -9,7 +9,7 @@ There are no labelled pages, so the labels come from markup that says what it
 is: in pages with an ``article`` or ``main`` element the blocks inside it are
 wanted, but for menus, forms, comments and the like in it. At most ``SAMPLE``
 such pages of at most ``SAMPLE_CHARS`` characters, chosen by hash, are learnt
-from, and as many as ``INVENTED`` pages put together from their blocks and from
+from, as they are and with other texts in their blocks, and ``INVENTED`` pages put together from their blocks and from
 stock phrases in other layouts, in which class names take the place of the
 elements or are missing. Without labelled pages the invented ones remain.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.html_blocks import Block, blocks
-from caseframe.llm.html_layouts import invented
+from caseframe.llm.html_layouts import invented, reworded
 from caseframe.llm.recurrent import DENSE, PATHS, WORDS, Parameters, Sequence, fit, scores
 from caseframe.llm.words import chunks
 
@@ -119,15 +119,13 @@ def _labelled(pages: DataFrame) -> list[tuple[list[Block], np.ndarray]]:
         F.lower("html").rlike("<(article|main)[\\s>]|articlebody")
     )
     # Equal pages teach the same, so a page counts once, whatever its place in the table.
-    chosen = (
-        eligible.select(F.xxhash64("html").alias("number"), "html")
-        .groupBy("number")
-        .agg(F.min("html").alias("html"))
-        .orderBy("number")
-        .limit(SAMPLE)
-    )
+    # The numbers are looked for first: only pages that are wanted move.
+    numbered = eligible.select(F.xxhash64("html").alias("number"), "html")
+    least = numbered.select("number").distinct().orderBy("number").limit(SAMPLE).collect()
+    wanted = F.col("number").isin([row["number"] for row in least])
+    chosen = numbered.filter(wanted).groupBy("number").agg(F.min("html").alias("html"))
     found = []
-    for row in chosen.collect():
+    for row in sorted(chosen.collect()):
         page = list(blocks(row["html"]))
         labels = np.array([taught(block.path) for block in page], bool)
         if labels.any() and not labels.all():
@@ -138,8 +136,12 @@ def _labelled(pages: DataFrame) -> list[tuple[list[Block], np.ndarray]]:
 def learn(pages: DataFrame, seed: int = 11) -> Parameters:
     """A labeller from the table's own labelled pages and invented ones."""
     labelled = _labelled(pages)
-    # Given pages count three times.
-    labelled = [*labelled, *labelled, *labelled, *invented(labelled, INVENTED, seed)]
+    rounds = max(2, 3 * SAMPLE // max(len(labelled), 1) - 1)
+    labelled = [
+        *labelled,
+        *(page for more in range(rounds) for page in reworded(labelled, seed + more)),
+        *invented(labelled, INVENTED, seed),
+    ]
     features = Features()
     return fit([features.sequence(page) for page, _ in labelled], [own for _, own in labelled])
 

@@ -2,7 +2,7 @@
 
 A step's input is the mean vector of its path features, the mean vector of its
 word features and its dense features. One LSTM reads the sequence forwards, one
-backwards; both states give the probability that the step is wanted. Sequences
+backwards; both states and the input give the probability that the step is wanted. Sequences
 of a batch are sorted by length, so that each step multiplies only those that
 still run.
 """
@@ -14,6 +14,7 @@ import numpy as np
 PATHS, WORDS = 1024, 2048
 PATH_SIZE, WORD_SIZE, DENSE, HIDDEN = 24, 16, 8, 24
 INPUT = PATH_SIZE + WORD_SIZE + DENSE
+_ALIKE = 16
 
 
 @dataclass
@@ -43,6 +44,7 @@ def start(seed: int) -> Parameters:
         "paths": rng.normal(0, 0.3, (PATHS, PATH_SIZE)).astype(np.float32),
         "words": rng.normal(0, 0.1, (WORDS, WORD_SIZE)).astype(np.float32),
         "out": scaled(2 * HIDDEN, 1),
+        "out_input": np.zeros((INPUT, 1), np.float32),
         "out_bias": np.zeros(1, np.float32),
     }
     for side in ("ahead", "back"):
@@ -158,6 +160,10 @@ def _batch(model: Parameters, sequences: list[Sequence]) -> tuple[np.ndarray, np
     return x, lengths
 
 
+def _chance(model: Parameters, both: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return _sigmoid(both @ model["out"] + x @ model["out_input"] + model["out_bias"])[:, :, 0]
+
+
 def scores(model: Parameters, sequences: list[Sequence], steps: int = 1 << 14) -> list[np.ndarray]:
     """Probability of each step of each sequence.
 
@@ -176,7 +182,7 @@ def scores(model: Parameters, sequences: list[Sequence], steps: int = 1 << 14) -
         ahead, _ = _forward(model, "ahead", x, running, False)
         back, _ = _forward(model, "back", _turned(x, lengths), running, False)
         both = np.concatenate([ahead, _turned(back, lengths)], axis=2)
-        chance = _sigmoid(both @ model["out"] + model["out_bias"])[:, :, 0]
+        chance = _chance(model, both, x)
         for column, at in enumerate(chosen):
             found[at] = chance[: lengths[column], column]
     return found
@@ -194,7 +200,7 @@ def slopes_of(
     ahead, kept_ahead = _forward(model, "ahead", x, running, True)
     back, kept_back = _forward(model, "back", turned, running, True)
     both = np.concatenate([ahead, _turned(back, lengths)], axis=2)
-    chance = _sigmoid(both @ model["out"] + model["out_bias"])[:, :, 0]
+    chance = _chance(model, both, x)
     wanted = np.zeros_like(chance)
     real = np.zeros_like(chance)
     for at, own in enumerate(labels):
@@ -206,11 +212,14 @@ def slopes_of(
     slope = ((chance - wanted) * real / total)[:, :, None].astype(np.float32)
     slopes = {name: np.zeros_like(value) for name, value in model.items()}
     slopes["out"] += both.reshape(-1, 2 * HIDDEN).T @ slope.reshape(-1, 1)
+    slopes["out_input"] += x.reshape(-1, INPUT).T @ slope.reshape(-1, 1)
     slopes["out_bias"] += slope.sum()
     both_slope = slope @ model["out"].T
-    x_slope = _backward(
+    x_slope = slope @ model["out_input"].T
+    x_slope += _backward(
         model, "ahead", x, running, kept_ahead, both_slope[:, :, :HIDDEN], slopes
-    ) + _turned(
+    )
+    x_slope += _turned(
         _backward(
             model, "back", turned, running, kept_back, _turned(both_slope[:, :, HIDDEN:], lengths), slopes
         ),
@@ -236,17 +245,24 @@ def fit(
     rate: float = 0.01,
     seed: int = 7,
 ) -> Parameters:
-    """Parameters after Adam steps over shuffled batches, the rate falling to nothing."""
+    """Parameters after Adam steps over shuffled batches, the rate falling to nothing.
+
+    A batch holds sequences of about the same length.
+    """
     model = start(seed)
     usable = [at for at, sequence in enumerate(sequences) if len(sequence)]
     rng = np.random.default_rng(seed)
     first = {name: np.zeros_like(value) for name, value in model.items()}
     second = {name: np.zeros_like(value) for name, value in model.items()}
-    done, steps = 0, epochs * -(-len(usable) // batch)
+    done, steps = 0, epochs * (-(-len(usable) // batch) + 1)
     for _ in range(epochs):
         shuffled = rng.permutation(usable).astype(int).tolist()
-        for at in range(0, len(shuffled), batch):
-            chosen = shuffled[at : at + batch]
+        batches = []
+        for at in range(0, len(shuffled), _ALIKE * batch):
+            alike = sorted(shuffled[at : at + _ALIKE * batch], key=lambda i: len(sequences[i]))
+            batches += [alike[i : i + batch] for i in range(0, len(alike), batch)]
+        for place in rng.permutation(len(batches)).tolist():
+            chosen = batches[place]
             _, slopes = slopes_of(model, [sequences[i] for i in chosen], [labels[i] for i in chosen])
             norm = np.sqrt(sum(float((slope**2).sum()) for slope in slopes.values()))
             shrink = min(1.0, 5 / max(norm, 1e-9))
