@@ -54,6 +54,11 @@ _AROUND = ("menu", "notice", "header", "advert"), ("share", "comments", "sidebar
 _MARK = "\x02"
 
 
+def _made_up(rng: random.Random, n: int) -> str:
+    words = ("".join(rng.choice("aeinorstlmdu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    return " ".join(words).capitalize() + "."
+
+
 class _Texts:
     """Texts of content and of what stands beside it."""
 
@@ -63,15 +68,10 @@ class _Texts:
         self.content = sorted(text for text, wanted in told if wanted)
         self.beside = sorted(text for text, wanted in told if not wanted)
 
-    def _made_up(self, n: int) -> str:
-        rng = self.rng
-        words = ("".join(rng.choice("aeinorstlmdu") for _ in range(rng.randint(2, 9))) for _ in range(n))
-        return " ".join(words).capitalize() + "."
-
     def sentence(self) -> str:
         if self.content and self.rng.random() < 0.8:
             return self.rng.choice(self.content)[: self.rng.choice([60, 300, 2000])]
-        return self._made_up(self.rng.randint(3, 80))
+        return _made_up(self.rng, self.rng.randint(3, 80))
 
     def short(self) -> str:
         return " ".join(self.sentence().split()[: self.rng.randint(1, 7)])
@@ -184,7 +184,7 @@ def reworded(
 ) -> list[tuple[list[Block], np.ndarray]]:
     """The pages with the texts of their blocks dealt anew, and a block now and then repeated.
 
-    Some blocks say what is said beside articles elsewhere.
+    Some blocks say what is said beside articles elsewhere, some what no page says.
 
     Where markup says what a block is, its words must not outweigh that.
     """
@@ -193,11 +193,16 @@ def reworded(
     for page, labels in given:
         texts = [block.text for block in page]
         rng.shuffle(texts)
-        texts = [rng.choice(stock) if rng.random() < 0.1 else text for text in texts]
+        for at in range(len(texts)):
+            draw = rng.random()
+            if draw < 0.1:
+                texts[at] = rng.choice(stock)
+            elif draw < 0.3:
+                texts[at] = _made_up(rng, rng.randint(1, 12))
         dealt = [_with_text(block, text) for block, text in zip(page, texts, strict=True)]
-        if rng.random() < 0.2 and labels.any():
+        if rng.random() < 0.35 and labels.any():
             at = rng.choice(np.flatnonzero(labels).tolist())
-            times = rng.choice([5, 20, 60, 120])
+            times = rng.choice([3, 10, 20, 40, 120])
             said = rng.choice([page[at].text, rng.choice(texts), " ".join(rng.choice(texts).split()[:3])])
             same = _with_text(page[at], said)
             dealt[at : at + 1] = [same] * times

@@ -218,7 +218,7 @@ ORACLES = {
             FROM pages
         ), texts AS (
             SELECT page_id, url, trim(regexp_replace(regexp_replace(
-                       replace(inner_text, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
+                       regexp_replace(inner_text, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
                        AS text
             FROM articles
         )

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-PATHS, WORDS = 1024, 2048
+PATHS, WORDS = 1024, 8192
 PATH_SIZE, WORD_SIZE, DENSE, HIDDEN = 24, 16, 8, 24
 INPUT = PATH_SIZE + WORD_SIZE + DENSE
 _ALIKE = 16
