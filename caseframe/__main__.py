@@ -1,6 +1,6 @@
 """The batch stages from the command line, in the session the launcher configures.
 
-    python -m caseframe preprocess TRAIN_CSV TEST_CSV OUT
+    python -m caseframe preprocess TRAIN_CSV TEST_CSV OUT [--multi-line]
     python -m caseframe analyse OUT
     python -m caseframe train OUT
 """
@@ -22,6 +22,9 @@ def main(arguments: list[str] | None = None) -> None:
     first.add_argument("train")
     first.add_argument("test")
     first.add_argument("out")
+    first.add_argument(
+        "--multi-line", action="store_true", help="quoted fields may hold line breaks"
+    )
     for name, text in (
         ("analyse", "show the standing analyses of the cleaned training rows"),
         ("train", "fit the rate model, store it and its predictions, show the metrics"),
@@ -31,7 +34,8 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"caseframe-{chosen.stage}").getOrCreate()
     if chosen.stage == "preprocess":
-        preprocess(spark, chosen.train, chosen.test, chosen.out).show(truncate=False)
+        report = preprocess(spark, chosen.train, chosen.test, chosen.out, chosen.multi_line)
+        report.show(truncate=False)
     elif chosen.stage == "analyse":
         for name, result in analyse(read_rows(spark, f"{chosen.out}/parquet/train")).items():
             print(name)

@@ -18,6 +18,7 @@ from caseframe.schema import (
     INT_COLUMNS,
     LONG_COLUMNS,
     RAW_INDEX,
+    REJECTED,
     STATE,
 )
 
@@ -65,10 +66,15 @@ def split_county_state(df: DataFrame, state: str = STATE) -> tuple[DataFrame, Da
 
 
 def with_level(df: DataFrame, state: str = STATE) -> DataFrame:
-    """Adds ``level``: county, state, or unassigned where the county is missing."""
+    """Adds ``level``: county, state, unassigned where the county is missing, or rejected.
+
+    Rejected are malformed lines, where the rows come with their text.
+    """
     county = F.col("County")
+    rejected = F.col(REJECTED).isNotNull() if REJECTED in df.columns else F.lit(False)
     level = (
-        F.when(county.isNull(), F.lit("unassigned"))
+        F.when(rejected, F.lit("rejected"))
+        .when(county.isNull(), F.lit("unassigned"))
         .when(county == state, F.lit("state"))
         .otherwise(F.lit("county"))
     )

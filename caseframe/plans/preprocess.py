@@ -4,11 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caseframe.operators.cleaning import clean, row_report
 from caseframe.operators.selection import union_sets
-from caseframe.sources import read_clean, read_raw, read_rows, write_clean, write_csv
+from caseframe.sources import read_clean, read_raw_lines, read_rows, write_clean, write_csv
 
 
 def preprocess(
-    spark: SparkSession, train_path: str, test_path: str, out_dir: str
+    spark: SparkSession, train_path: str, test_path: str, out_dir: str, multi_line: bool = False
 ) -> DataFrame:
     """Clean both sets, write them, and return the row report.
 
@@ -17,12 +17,13 @@ def preprocess(
     copies, and no data columns at all for the counts.
 
     Layout below ``out_dir``: ``parquet/{train,test}``, ``csv/{train,test}``
-    with the county rows, ``csv/{train,test}_state`` with the state rows.
+    with the county rows, ``csv/{train,test}_state`` with the state rows. Malformed
+    lines are counted in the report and kept as text under ``level=rejected``.
     """
     written = {}
     for dataset, path in (("train", train_path), ("test", test_path)):
         target = f"{out_dir}/parquet/{dataset}"
-        write_clean(clean(read_raw(spark, path)), target)
+        write_clean(clean(read_raw_lines(spark, path, multi_line)), target)
         write_csv(read_rows(spark, target, "county"), f"{out_dir}/csv/{dataset}")
         write_csv(read_rows(spark, target, "state"), f"{out_dir}/csv/{dataset}_state")
         written[dataset] = read_clean(spark, target)

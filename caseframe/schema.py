@@ -57,6 +57,8 @@ RAW_REQUIRED = (
     "CI.upper",
 )
 RAW_INDEX = "_c0"
+# The text of a line that is no row.
+REJECTED = "_rejected"
 DOTTED = {"CI.lower": "CI_lower", "CI.upper": "CI_upper"}
 INT_COLUMNS = ("Year",)
 LONG_COLUMNS = ("Count", "Population")

@@ -1,6 +1,8 @@
 """Readers, writers and the working folder."""
 
+from caseframe.sources.layouts import file_headers, layouts, read_lines
 from caseframe.sources.readers import (
+    input_report,
     load_uncleaned,
     load_uncleaned_predictions,
     read_clean,
@@ -9,6 +11,7 @@ from caseframe.sources.readers import (
     read_parquet,
     read_predictions_csv,
     read_raw,
+    read_raw_lines,
     read_rows,
 )
 from caseframe.sources.working import materialise, new_path
@@ -20,6 +23,10 @@ from caseframe.sources.writers import (
 )
 
 __all__ = [
+    "file_headers",
+    "input_report",
+    "layouts",
+    "read_lines",
     "load_uncleaned",
     "load_uncleaned_predictions",
     "materialise",
@@ -30,6 +37,7 @@ __all__ = [
     "read_parquet",
     "read_predictions_csv",
     "read_raw",
+    "read_raw_lines",
     "read_rows",
     "write_clean",
     "write_csv",

@@ -1,12 +1,13 @@
 """Raw, cleaned and predicted tables from CSV or parquet.
 
-CSV is read with the header and without a schema or inference: every column
-arrives as text under its own name, no extra pass runs over the data, and bad
-tokens reach the lenient casts instead of changing a column's type. All files
-of one call must share one header.
+CSV is read by the names in the header of each file and without inference: every
+column arrives as text under its own name, and bad tokens reach the lenient casts
+instead of changing a column's type. Files of one folder may have their columns
+in different orders. Lines with more or fewer fields than their header are no
+rows; ``read_raw_lines`` keeps them as rejected, the other readers leave them out.
 """
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -29,8 +30,10 @@ from caseframe.schema import (
     LOW,
     PREDICTIONS,
     RAW_REQUIRED,
+    REJECTED,
     STATE,
 )
+from caseframe.sources.layouts import layouts, read_lines
 
 _CASTS = {"int": lenient_int, "bigint": lenient_long, "double": lenient_double}
 
@@ -54,8 +57,21 @@ def _require(df: DataFrame, names: Iterable[str], path: str) -> DataFrame:
     return df
 
 
-def _read_text(spark: SparkSession, path: str) -> DataFrame:
-    return _open(lambda: spark.read.option("header", True).csv(path), path)
+def _read_text(
+    spark: SparkSession, path: str, required: Iterable[str], multi_line: bool = False
+) -> DataFrame:
+    """Rows by name and rejected lines; every layout must have the required columns."""
+    found = _open(lambda: layouts(spark, path), path)
+    for names, files in found:
+        missing = [name for name in required if name not in names]
+        if missing:
+            more = f" and {len(files) - 1} more files" if len(files) > 1 else ""
+            raise ValueError(f"{files[0]}{more} lack the columns {', '.join(missing)}")
+    return _require(read_lines(spark, path, multi_line, found), required, path)
+
+
+def _good(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col(REJECTED).isNull()).drop(REJECTED)
 
 
 def _as_schema(df: DataFrame, schema: StructType) -> DataFrame:
@@ -67,19 +83,72 @@ def _as_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.withColumns(casts)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw extract, all text. An unnamed first column shows up as ``_c0``."""
-    return _require(_read_text(spark, path), RAW_REQUIRED, path)
+def read_raw_lines(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Raw extract, all text, with the text of malformed lines in ``REJECTED``.
+
+    An unnamed first column shows up as ``_c0``. ``multi_line`` allows line breaks
+    in quoted fields, at the price of one task per file.
+    """
+    return _read_text(spark, path, RAW_REQUIRED, multi_line)
+
+
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The rows of a raw extract, all text, without malformed lines."""
+    return _good(read_raw_lines(spark, path, multi_line))
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _as_schema(_require(_read_text(spark, path), CLEAN.names, path), CLEAN)
+    return _as_schema(_good(_read_text(spark, path, CLEAN.names)), CLEAN)
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _as_schema(
-        _require(_read_text(spark, path), PREDICTIONS.names, path), PREDICTIONS
+    return _as_schema(_good(_read_text(spark, path, PREDICTIONS.names)), PREDICTIONS)
+
+
+def input_report(
+    spark: SparkSession,
+    csv: Mapping[str, str],
+    parquet: Mapping[str, str] | None = None,
+    csv_columns: Iterable[str] = RAW_REQUIRED,
+    parquet_columns: StructType = CLEAN,
+) -> DataFrame:
+    """One row per data set and expected column: whether it is there, and with which type.
+
+    ``csv`` and ``parquet`` are paths by data set. ``n_files`` counts files with a
+    header (of a parquet set: all), ``n_with_column`` those that have the column; a
+    path that is not there has none. Only headers and footers are read.
+    """
+    rows = []
+    for dataset, path in csv.items():
+        try:
+            found = _open(lambda path=path: layouts(spark, path), path)
+        except FileNotFoundError:
+            found = None
+        n_files = sum(len(files) for _, files in found or [])
+        for name in csv_columns:
+            having = sum(len(files) for names, files in found or [] if name in names)
+            kind = "string" if having else None
+            rows.append((dataset, name, found is not None, n_files, having, kind, "string"))
+    for dataset, path in (parquet or {}).items():
+        try:
+            table = read_parquet(spark, path)
+        except FileNotFoundError:
+            table = None
+        n_files = 0 if table is None else len(table.inputFiles())
+        kinds = {} if table is None else dict(table.dtypes)
+        for field in parquet_columns:
+            kind = kinds.get(field.name)
+            expected = field.dataType.simpleString()
+            having = n_files if kind else 0
+            rows.append((dataset, field.name, table is not None, n_files, having, kind, expected))
+    report = spark.createDataFrame(
+        rows,
+        "dataset string, column string, path_found boolean, n_files long, n_with_column long,"
+        " found_type string, expected_type string",
     )
+    everywhere = (F.col("n_files") > 0) & (F.col("n_with_column") == F.col("n_files"))
+    right = F.col("found_type").eqNullSafe(F.col("expected_type"))
+    return report.withColumn("usable", everywhere & right)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -109,6 +178,8 @@ def read_rows(spark: SparkSession, path: str, level: str = "county") -> DataFram
     folders asked for are listed and read.
     """
     rows = read_clean(spark, path).filter(F.col("level") == level).drop("level")
+    if level != "rejected":
+        rows = rows.drop(REJECTED)
     extra = [name for name in rows.columns if name not in CLEAN.names]
     return rows.select(*CLEAN.names, *extra)
 

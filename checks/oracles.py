@@ -147,6 +147,27 @@ FROM cleaned WHERE County <> 'California'""",
 SELECT *, CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset,
        CASE WHEN County = 'California' THEN 'state' ELSE 'county' END AS level
 FROM cleaned WHERE County IS NOT NULL""",
+    "clean_by_name": f"""{_CLEANED}
+SELECT *, CASE WHEN Id % 20 >= 10 THEN 'second' END AS Origin FROM cleaned""",
+    "rejected_lines": f"""{_RAW}
+SELECT CASE WHEN Id % 10 IN (2, 4) THEN 'rejected' WHEN County IS NULL THEN 'unassigned'
+            WHEN County = 'California' THEN 'state' ELSE 'county' END AS level,
+       CASE Id % 10 WHEN 2 THEN 3 WHEN 4 THEN 11 END AS n_fields, count(*) AS n_rows
+FROM raw GROUP BY ALL""",
+    "input_report": """WITH columns(name, kind) AS (VALUES
+  ('Disease', 'string'), ('County', 'string'), ('Year', 'int'), ('Sex', 'string'),
+  ('Count', 'bigint'), ('Population', 'bigint'), ('Rate', 'double'), ('CI.lower', 'double'),
+  ('CI.upper', 'double'), ('Id', 'bigint'), ('Recalculated_Rate', 'double')),
+raw_sets AS (
+  SELECT dataset, name, dataset <> 'absent' AS path_found,
+         dataset = 'whole' OR (dataset = 'lacking' AND name NOT IN ('Rate', 'CI.upper')) AS usable
+  FROM columns, (VALUES ('whole'), ('lacking'), ('absent')) AS sets(dataset)
+  WHERE name NOT IN ('Id', 'Recalculated_Rate'))
+SELECT dataset, name AS column, path_found, CASE WHEN usable THEN 'string' END AS found_type,
+       'string' AS expected_type, usable FROM raw_sets
+UNION ALL
+SELECT 'cleaned', replace(name, '.', '_'), TRUE, CASE name WHEN 'Count' THEN 'double' ELSE kind END,
+       kind, name <> 'Count' FROM columns""",
     "predictions_csv": f"""{_CLEANED}, {_banded("cleaned")}
 SELECT * EXCLUDE (Rate, CI_lower, CI_upper) FROM banded WHERE County <> 'California'""",
     "clean_table": f"{_CLEANED} SELECT * FROM cleaned",

@@ -24,6 +24,7 @@ from caseframe.operators.places import map_layer
 from caseframe.plans.preprocess import preprocess as preprocess_stage
 from caseframe.schema import SEXES
 from caseframe.sources import (
+    input_report,
     load_uncleaned,
     load_uncleaned_predictions,
     materialise,
@@ -31,7 +32,10 @@ from caseframe.sources import (
     read_clean_csv,
     read_model,
     read_predictions_csv,
+    read_raw,
+    read_raw_lines,
     read_rows,
+    write_clean,
     write_model,
     write_predictions,
 )
@@ -89,6 +93,49 @@ def clean_csv_round_trip(spark, sf_dir):
     return levels["county"].unionByName(levels["state"])
 
 
+def clean_by_name(spark, sf_dir):
+    """Raw files of two layouts in one folder: the columns of the second stand the other
+    way round, with one more among them."""
+    raw, path = tables.raw_rows(spark, sf_dir), new_path(spark)
+    names = [f"`{name}`" for name in raw.columns]
+    odd = F.col("_c0").cast("double").cast("bigint") % 20 >= 10
+    turned = raw.filter(odd).withColumn("Origin", F.lit("second"))
+    for part in (raw.filter(~odd).select(*names), turned.select(*names[::-1], "Origin")):
+        part.write.mode("append").option("header", True).csv(path)
+    return cleaning.clean(read_raw(spark, path))
+
+
+def rejected_lines(spark, sf_dir):
+    """Rows by level of raw text in which some lines end early or have a field too many."""
+    raw, path = tables.raw_rows(spark, sf_dir), new_path(spark)
+    fields = [F.coalesce(F.col(f"`{name}`"), F.lit("")) for name in raw.columns]
+    whole, number = F.concat_ws(",", *fields), F.col("_c0").cast("double").cast("bigint") % 10
+    line = (
+        F.when(number == 2, F.concat_ws(",", *fields[:3]))
+        .when(number == 4, F.concat(whole, F.lit(",9")))
+        .otherwise(whole)
+    )
+    header = ",".join(["", *raw.columns[1:]])
+    text = raw.select(line.alias(header)).write.option("header", True)
+    text.option("quote", "").option("sep", "\u0001").csv(path)
+    levelled = cleaning.with_level(cleaning.clean(read_raw_lines(spark, path)))
+    n_fields = F.size(F.split("_rejected", ","))
+    return levelled.groupBy(
+        "level", F.when(F.col("_rejected").isNotNull(), n_fields).alias("n_fields")
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def input_check(spark, sf_dir):
+    """What is there of a raw set, of one without two columns, of none, and of a cleaned set."""
+    raw, paths = tables.raw_rows(spark, sf_dir), {name: new_path(spark) for name in "abcd"}
+    raw.write.option("header", True).csv(paths["a"])
+    raw.drop("Rate", "CI.upper").write.option("header", True).csv(paths["b"])
+    other = cleaning.clean(raw).withColumn("Count", F.col("Count").cast("double"))
+    write_clean(other, paths["d"])
+    csv = {"whole": paths["a"], "lacking": paths["b"], "absent": paths["c"]}
+    return input_report(spark, csv, {"cleaned": paths["d"]}).drop("n_files", "n_with_column")
+
+
 def predictions_csv(spark, sf_dir):
     """Banded rows written as the predictions file and read back."""
     path = new_path(spark)
@@ -363,6 +410,9 @@ def forecast_scores(spark, sf_dir):
 QUERIES = {
     "preprocess": preprocess,
     "clean_csv_round_trip": clean_csv_round_trip,
+    "clean_by_name": clean_by_name,
+    "rejected_lines": rejected_lines,
+    "input_report": input_check,
     "predictions_csv": predictions_csv,
     "clean_table": clean_table,
     "clean_rates": clean_rates,
