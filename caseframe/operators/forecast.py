@@ -2,7 +2,8 @@
 
 ``fit_*`` run jobs, as every estimator does, and read their rows many times. Give
 them a stored table; rows that are expensive to make are written first, with
-``materialise``.
+``materialise``. A fit deals and sorts its rows by their content, so the same rows
+give the same trees in whatever files and partitions they come.
 """
 
 from collections.abc import Sequence
@@ -19,7 +20,19 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseframe.operators.categories import (
+    MeanCodedModel,
+    RankedModel,
+    assembled,
+    fold_of,
+    frequency_ranks,
+    label_counts,
+    label_means,
+    with_means,
+    with_ranks,
+)
 from caseframe.operators.selection import years_after
+from caseframe.sources.working import materialise
 
 LABEL = "Recalculated_Rate"
 CATEGORIES = ("Disease", "County", "Sex")
@@ -31,6 +44,8 @@ NUMBERS = ("Year", "Population")
 RATE_FOREST = {"numTrees": 20, "maxDepth": 8, "seed": 42, "maxBins": 100}
 FORECAST_TREES = 100
 DEFAULT_BINS = 32
+#: Category values that a tree may have as indices: each is a bin, kept for every node.
+MOST_LABELS = 10_000
 
 
 def _indexer(columns: Sequence[str]) -> StringIndexer:
@@ -58,6 +73,21 @@ def training_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns, *NUMBERS, LABEL).filter(_known())
 
 
+def ordered_rows(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """The rows dealt to ``parts`` partitions and sorted there, by nothing but their content.
+
+    Bagging draws by the place of a row, so its place must not depend on files and
+    earlier shuffles. Equal rows are counted first and told apart by a copy's
+    number: a row that makes up most of the table is dealt over all partitions.
+    ``parts`` is the session's number of shuffle partitions, if not given.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = rows.columns
+    copies = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    each = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    return each.repartition(parts, *names, "_copy").sortWithinPartitions(*names, "_copy").drop("_copy")
+
+
 def training_report(df: DataFrame) -> DataFrame:
     """One row: how many rows a fit uses and leaves out, and the range of their rates."""
     known = _known()
@@ -85,8 +115,18 @@ def build_rate_pipeline() -> Pipeline:
     )
 
 
-def fit_rate_model(train: DataFrame) -> PipelineModel:
-    return build_rate_pipeline().fit(training_rows(train, CATEGORIES))
+def fit_rate_model(train: DataFrame, parts: int | None = None) -> PipelineModel:
+    return build_rate_pipeline().fit(ordered_rows(training_rows(train, CATEGORIES), parts))
+
+
+def fit_ranked_rate_model(train: DataFrame, parts: int | None = None) -> RankedModel:
+    """The same forest over ranks that are joined to the rows: no labels in the driver."""
+    rows = training_rows(train, CATEGORIES)
+    ranks = {column: frequency_ranks(rows, column) for column in CATEGORIES}
+    indexed = ordered_rows(with_ranks(rows, ranks).drop(*CATEGORIES), parts)
+    forest = RandomForestRegressor(featuresCol="features", labelCol=LABEL, **RATE_FOREST)
+    vectors = assembled(indexed, label_counts(ranks)).select("features", LABEL)
+    return RankedModel(ranks, Pipeline(stages=[forest]).fit(vectors))
 
 
 def build_forecast_pipeline(indexer: StringIndexer | StringIndexerModel, max_bins: int) -> Pipeline:
@@ -104,21 +144,53 @@ def build_forecast_pipeline(indexer: StringIndexer | StringIndexerModel, max_bin
     )
 
 
-def fit_forecast_model(history: DataFrame) -> PipelineModel:
-    """Fit on train and test together, with plain category indices.
+def fit_forecast_model(
+    history: DataFrame, encoding: str = "index", parts: int | None = None
+) -> PipelineModel | MeanCodedModel:
+    """Fit on train and test together.
 
-    A tree needs a bin for every category and one for unseen ones, so the bins
-    follow the number of labels found.
+    ``index``: plain category indices, as the reference model has them. A tree needs
+    a bin for every category and one for unseen ones, so the bins follow the number of
+    labels found, ``MOST_LABELS`` at most. ``mean``: a category is the mean of its
+    label in the other folds, an ordered number, so any number of categories fits
+    the default bins.
     """
     rows = training_rows(history, FORECAST_CATEGORIES).withColumn(
         "Population", F.col("Population").cast("double")
     )
-    indexer = _indexer(FORECAST_CATEGORIES).fit(rows)
+    if encoding == "mean":
+        return _fit_mean_coded(rows, parts)
+    if encoding != "index":
+        raise ValueError(f"no encoding is called {encoding}; there are index and mean")
+    found = rows.agg(*(F.countDistinct(name).alias(name) for name in FORECAST_CATEGORIES)).first()
+    many = [f"{found[name]} of {name}" for name in FORECAST_CATEGORIES if found[name] > MOST_LABELS]
+    if many:
+        raise ValueError(
+            f"{', '.join(many)} are more than {MOST_LABELS} labels, too many for a bin each;"
+            ' fit with encoding="mean"'
+        )
+    ordered = ordered_rows(rows, parts)
+    indexer = _indexer(FORECAST_CATEGORIES).fit(ordered)
     most = max(len(labels) for labels in indexer.labelsArray)
-    return build_forecast_pipeline(indexer, max(DEFAULT_BINS, most + 1)).fit(rows)
+    return build_forecast_pipeline(indexer, max(DEFAULT_BINS, most + 1)).fit(ordered)
+
 
+def _fit_mean_coded(rows: DataFrame, parts: int | None) -> MeanCodedModel:
+    fold = fold_of(rows.columns)
+    means = {
+        name: materialise(label_means(rows, name, LABEL, fold)) for name in FORECAST_CATEGORIES
+    }
+    overall = rows.agg(F.avg(LABEL)).first()[0]
+    coded = with_means(rows, means, overall, fold).drop(*FORECAST_CATEGORIES)
+    numbers = [*(f"{name}_Mean" for name in FORECAST_CATEGORIES), *NUMBERS]
+    forest = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=FORECAST_TREES)
+    fitted = Pipeline(stages=[_assembler(numbers), forest]).fit(ordered_rows(coded, parts))
+    return MeanCodedModel(means, overall, fitted)
 
-def with_prediction(model: PipelineModel, df: DataFrame) -> DataFrame:
+
+def with_prediction(
+    model: PipelineModel | RankedModel | MeanCodedModel, df: DataFrame
+) -> DataFrame:
     """``df`` with ``prediction``: null where the year or population is unknown."""
     known = F.col("Year").isNotNull() & F.col("Population").isNotNull()
     return model.transform(df).select(

@@ -125,6 +125,15 @@ grid AS (
        (SELECT CAST(last + step AS INTEGER) AS Year
         FROM (SELECT max(Year) AS last FROM V WHERE Year < {FIRST_TEST_YEAR}), range(1, 6) AS steps(step)))"""
 
+_RANKS = f"""
+ranks AS (
+  SELECT category, value, n, row_number() OVER (PARTITION BY category ORDER BY n DESC, value) - 1 AS rank
+  FROM (SELECT category, value, count(*) AS n
+        FROM (SELECT unnest(['Disease', 'County', 'Sex']) AS category,
+                     unnest([Disease, County, Sex]) AS value
+              FROM V WHERE Year < {FIRST_TEST_YEAR} AND Population IS NOT NULL)
+        GROUP BY category, value))"""
+
 
 def _totals(key, rate="Avg_Rate", where="TRUE"):
     return f"""SELECT {key}, CAST(sum(Count) AS BIGINT) AS Total_Cases,
@@ -320,6 +329,39 @@ FROM grid WHERE Year NOT IN (SELECT Year FROM V WHERE Year >= {FIRST_TEST_YEAR})
     "rf_predictions": f"""{_CASES}
 SELECT *, Population IS NOT NULL AS scored, TRUE AS within_range, TRUE AS band_agrees
 FROM V WHERE Year >= {FIRST_TEST_YEAR}""",
+    "category_ranks": f"""{_CASES}, {_RANKS} SELECT * FROM ranks""",
+    "feature_vectors": f"""{_CASES}, {_RANKS},
+sizes AS (SELECT category, count(*) AS size FROM ranks GROUP BY category),
+starts AS (
+  SELECT max(size) FILTER (category = 'Disease') AS diseases,
+         max(size) FILTER (category = 'County') AS counties, sum(size) AS labels FROM sizes)
+SELECT V.Disease, V.County, V.Year, V.Sex, CAST(labels + 2 AS INTEGER) AS n_slots,
+       concat_ws(' ', '0:' || Year, (1 + d.rank) || ':1', (1 + diseases + c.rank) || ':1',
+         (1 + diseases + counties + s.rank) || ':1',
+         CASE WHEN Population IS NULL THEN CAST(labels + 1 AS BIGINT) || ':NaN'
+              WHEN Population <> 0 THEN CAST(labels + 1 AS BIGINT) || ':' || Population END) AS slots
+FROM V CROSS JOIN starts
+LEFT JOIN ranks d ON d.category = 'Disease' AND d.value = V.Disease
+LEFT JOIN ranks c ON c.category = 'County' AND c.value = V.County
+LEFT JOIN ranks s ON s.category = 'Sex' AND s.value = V.Sex""",
+    "out_of_fold_means": f"""{_CASES},
+learnt AS (SELECT *, Year % 5 AS fold, CAST(Recalculated_Rate AS DOUBLE) AS rate
+           FROM V WHERE Population IS NOT NULL),
+long AS (SELECT 'Disease' AS category, Disease AS value, fold, rate FROM learnt
+         UNION ALL SELECT 'County', County, fold, rate FROM learnt),
+folds AS (SELECT DISTINCT category, value, fold FROM long
+          UNION ALL SELECT DISTINCT category, value, NULL FROM long),
+sums AS (
+  SELECT f.category, f.value, f.fold, coalesce(sum(rate), 0) AS total, count(rate) AS n
+  FROM folds f LEFT JOIN long l
+    ON l.category = f.category AND l.value = f.value AND l.fold IS DISTINCT FROM f.fold
+  GROUP BY ALL)
+SELECT category, value, CAST(fold AS BIGINT) AS fold,
+       {_round("(total + (SELECT avg(rate) FROM learnt) * 10) / (n + 10)", 4)} AS mean
+FROM sums""",
+    "rf_ranked_metrics": f"""{_CASES}
+SELECT count(*) AS n_rows, TRUE AS as_good FROM V
+WHERE Year >= {FIRST_TEST_YEAR} AND Population IS NOT NULL""",
     "rf_metrics": f"""{_CASES}
 SELECT count(*) FILTER (WHERE Year >= {FIRST_TEST_YEAR} AND Population IS NOT NULL) AS n_rows,
        count(*) FILTER (WHERE Year < {FIRST_TEST_YEAR} AND Population IS NOT NULL) AS n_train,

@@ -7,17 +7,23 @@ A query whose plan would need the case table in more than one branch writes it
 to the working folder first, so that the joins over the line items run once.
 """
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from caseframe.operators import cleaning, overview, rankings, risk, selection
+from caseframe.operators.categories import feature_vectors, frequency_ranks, label_means
 from caseframe.operators.forecast import (
+    CATEGORIES,
+    LABEL,
     evaluate,
     fit_forecast_model,
+    fit_ranked_rate_model,
     fit_rate_model,
     forecast,
     forecast_grid,
     training_report,
+    training_rows,
     with_prediction,
 )
 from caseframe.operators.places import map_layer
@@ -365,6 +371,61 @@ def rf_predictions(spark, sf_dir):
     )
 
 
+def category_ranks(spark, sf_dir):
+    """Rank of every value of the three categories, by how many rows to learn from have it."""
+    learnt = materialise(training_rows(halves(_written_rows(spark, sf_dir))[0], CATEGORIES))
+    found = [
+        frequency_ranks(learnt, name).select(
+            F.lit(name).alias("category"), F.col(name).alias("value"), "n", "rank"
+        )
+        for name in CATEGORIES
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def vectors(spark, sf_dir):
+    """Feature vectors of all rows by the ranks of those to learn from: the slots that are set."""
+    rows = _written_rows(spark, sf_dir)
+    learnt = training_rows(halves(rows)[0], CATEGORIES)
+    ranks = {name: frequency_ranks(learnt, name) for name in CATEGORIES}
+    slots = vector_to_array("features")
+
+    def entry(value, slot):
+        text = F.when(F.isnan(value), "NaN").otherwise(value.try_cast("decimal(20,0)").cast("string"))
+        return F.when(value != 0, F.concat_ws(":", slot, text))
+
+    return feature_vectors(rows, ranks).select(
+        "Disease", "County", "Year", "Sex",
+        F.size(slots).alias("n_slots"),
+        F.array_join(F.array_compact(F.transform(slots, entry)), " ").alias("slots"),
+    )
+
+
+def out_of_fold_means(spark, sf_dir):
+    """Mean rate of each disease and county over the rows of all other folds, by year here."""
+    learnt = training_rows(_written_rows(spark, sf_dir), ("Disease", "County"))
+    fold = F.col("Year") % 5
+    found = [
+        label_means(learnt, name, LABEL, fold).select(
+            F.lit(name).alias("category"), F.col(name).alias("value"), "fold", "mean"
+        )
+        for name in ("Disease", "County")
+    ]
+    return _rounded(found[0].unionByName(found[1]), "mean", digits=4)
+
+
+def rf_ranked_metrics(spark, sf_dir):
+    """The forest over joined ranks: which rows it scores, and whether it does so as well as
+    the one whose labels the driver holds (the trees differ where equal splits are chosen)."""
+    train, test = halves(_written_rows(spark, sf_dir))
+    ranked = evaluate(with_prediction(fit_ranked_rate_model(train), test))
+    held = evaluate(with_prediction(fit_rate_model(train), test)).first()
+    return ranked.select(
+        "n_rows",
+        F.col("rmse").between(held["rmse"] * 0.9, held["rmse"] * 1.1).alias("as_good"),
+    )
+
+
 def rf_metrics(spark, sf_dir):
     """Rows learnt from, left out and compared, and whether the error figures can be."""
     train, test = halves(_written_rows(spark, sf_dir))
@@ -451,6 +512,10 @@ QUERIES = {
     "prediction_lookup": prediction_lookup,
     "predictions_for": predictions_for,
     "rf_predictions": rf_predictions,
+    "category_ranks": category_ranks,
+    "feature_vectors": vectors,
+    "out_of_fold_means": out_of_fold_means,
+    "rf_ranked_metrics": rf_ranked_metrics,
     "rf_metrics": rf_metrics,
     "model_round_trip": model_round_trip,
     "forecast_scores": forecast_scores,

@@ -51,7 +51,7 @@ def scored(model, halves):
     return with_prediction(model, halves[1])
 
 
-def test_batch_model_settings():
+def test_batch_model_settings(spark):
     forest = build_rate_pipeline().getStages()[-1]
     assert (forest.getNumTrees(), forest.getMaxDepth()) == (20, 8)
     assert (forest.getSeed(), forest.getMaxBins()) == (42, 100)
