@@ -4,7 +4,7 @@ These differ from the rankings in two ways: means are not rounded, and rows
 whose group key is missing form no group.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.operators.rankings import top_diseases, yearly_trends
@@ -52,6 +52,13 @@ def key_figures(df: DataFrame, disease: str | None = None) -> DataFrame:
     return figures.withColumn("Top_Disease", F.lit(chosen)) if chosen else figures
 
 
+def max_rate_order() -> Column:
+    """Sorts the highest rate first, then by disease, county, year, sex; null without a rate."""
+    rate = F.col("Recalculated_Rate")
+    known = rate.isNotNull() & ~F.isnan(rate)
+    return F.when(known, F.struct((-rate).alias("rate"), "Disease", "County", "Year", "Sex"))
+
+
 def max_rate_row(df: DataFrame) -> DataFrame:
     """The whole row with the highest rate; ties by disease, county, year, sex."""
     rate = F.col("Recalculated_Rate")
@@ -85,6 +92,11 @@ def year_growth(df: DataFrame) -> DataFrame:
         .groupBy("Year")
         .agg(F.coalesce(F.sum("Count"), F.lit(0)).alias("cases"))
     )
+    return growth_of(years)
+
+
+def growth_of(years: DataFrame) -> DataFrame:
+    """Growth between the ends of a table of ``Year`` and ``cases``."""
     ends = years.agg(
         F.min("Year").alias("first_year"),
         F.max("Year").alias("last_year"),

@@ -113,7 +113,12 @@ def map_layer(df: DataFrame, coordinates: DataFrame) -> DataFrame:
     table. That table is a list of places drawn on one map, so one task holds it;
     the input is read once.
     """
-    placed = with_coordinates(county_means(df), coordinates)
+    return drawn(county_means(df), coordinates)
+
+
+def drawn(means: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """The map layer of counties with their ``Mean_Rate``, one row each."""
+    placed = with_coordinates(means, coordinates)
     highest = F.max("Mean_Rate").over(Window.partitionBy())
     share = share_of_maximum(F.col("Mean_Rate"), highest)
     return (

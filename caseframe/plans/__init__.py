@@ -1,5 +1,6 @@
 """The batch stages and the screens, put together from the operators.
 
-``preprocess`` and ``train`` write tables; ``analyse`` and ``screens`` return
-DataFrames whose actions are the caller's.
+``preprocess`` and ``train`` write tables; ``analyse`` returns DataFrames whose
+actions are the caller's. ``screens`` run one job for a summary that what they
+return is taken from.
 """

@@ -261,6 +261,38 @@ SELECT *, {_round("CASE WHEN first_cases > 0 THEN (last_cases - first_cases) / f
        CASE WHEN last_cases > first_cases AND first_cases > 0
             THEN 'augmentation' ELSE 'baisse' END AS trend
 FROM ends""",
+    "screen_summary": f"""{_CASES}
+SELECT CASE GROUPING(Disease, County, Sex, Year) WHEN 15 THEN 'All' WHEN 7 THEN 'Disease'
+            WHEN 11 THEN 'County' WHEN 13 THEN 'Sex' ELSE 'Year' END AS level,
+       Disease, County, Sex, Year, count(*) AS n_rows, CAST(sum(Count) AS BIGINT) AS cases,
+       {_round("sum(Recalculated_Rate)", 3)} AS rate_sum, count(Recalculated_Rate) AS rate_n,
+       CAST(sum(Population) AS BIGINT) AS population_sum, count(Population) AS population_n
+FROM V GROUP BY GROUPING SETS ((), (Disease), (County), (Sex), (Year))""",
+    "summary_charts": f"""{_CASES},
+y AS (SELECT Year, CAST(sum(Count) AS BIGINT) AS cases FROM V GROUP BY Year),
+ends AS (SELECT min(Year) AS first_year, max(Year) AS last_year, min_by(cases, Year) AS first_cases,
+                max_by(cases, Year) AS last_cases FROM y),
+growth AS (SELECT *, CASE WHEN first_cases > 0 THEN (last_cases - first_cases) / first_cases * 100.0
+                          ELSE 0 END AS growth FROM ends),
+told AS (
+  SELECT 'figures' AS screen,
+         (SELECT County FROM V GROUP BY County ORDER BY sum(Count) DESC, County LIMIT 1) || ' / ' ||
+         (SELECT Disease FROM V GROUP BY Disease ORDER BY sum(Count) DESC, Disease LIMIT 1) AS name,
+         sum(Count) AS cases, avg(Recalculated_Rate) AS rate FROM V
+  UNION ALL
+  (SELECT 'highest', concat_ws(' / ', Disease, County, Year, Sex), Count, Recalculated_Rate FROM V
+   ORDER BY Recalculated_Rate DESC, Disease, County, Year, Sex LIMIT 1)
+  UNION ALL
+  (SELECT 'Disease', Disease, sum(Count) AS total, avg(Recalculated_Rate) FROM V GROUP BY Disease
+   ORDER BY total DESC, Disease LIMIT 10)
+  UNION ALL
+  SELECT 'Year', CAST(Year AS VARCHAR), sum(Count), avg(Recalculated_Rate) FROM V GROUP BY Year
+  UNION ALL
+  SELECT 'Sex', Sex, sum(Count), NULL FROM V WHERE Sex IN ('Male', 'Female') GROUP BY Sex
+  UNION ALL
+  SELECT 'growth', concat_ws(' / ', first_year, last_year,
+           CASE WHEN growth > 0 THEN 'augmentation' ELSE 'baisse' END), last_cases, growth FROM growth)
+SELECT screen, name, CAST(cases AS BIGINT) AS cases, {_round("CAST(rate AS DOUBLE)", 6)} AS rate FROM told""",
     "map_layer": f"""{_CASES},
 m AS (
   SELECT County, CAST(sum(Count) AS BIGINT) AS Total_Count, avg(Recalculated_Rate) AS mean_rate,
@@ -376,3 +408,5 @@ SELECT County, Disease, Year, {_round("Population", 6)} AS Population,
        Population IS NOT NULL AS scored, TRUE AS within_range
 FROM grid""",
 }
+ORACLES["summary_map"] = ORACLES["map_layer"]
+ORACLES["summary_preview"] = ORACLES["preview"]

@@ -27,6 +27,7 @@ from caseframe.operators.forecast import (
     with_prediction,
 )
 from caseframe.operators.places import map_layer
+from caseframe.operators.summary import Summary, merged, summarise
 from caseframe.plans.preprocess import preprocess as preprocess_stage
 from caseframe.schema import SEXES
 from caseframe.sources import (
@@ -272,7 +273,10 @@ def year_growth(spark, sf_dir):
 
 
 def map_points(spark, sf_dir):
-    points = map_layer(county_rows(spark, sf_dir), tables.coordinates(spark, sf_dir))
+    return _points(map_layer(county_rows(spark, sf_dir), tables.coordinates(spark, sf_dir)))
+
+
+def _points(points: DataFrame) -> DataFrame:
     parts = {
         name: F.col("color")[place]
         for place, name in enumerate(("red", "green", "blue", "alpha"))
@@ -282,6 +286,44 @@ def map_points(spark, sf_dir):
     return _rounded(points, "Mean_Rate", "Population")
 
 
+def screen_summary(spark, sf_dir):
+    """The summary of all rows, put together from those of the two sets."""
+    train, test = halves(_written_rows(spark, sf_dir))
+    return _rounded(merged(summarise(train), summarise(test)), "rate_sum", digits=3)
+
+
+def summary_charts(spark, sf_dir):
+    """Figures of the screens, all from one summary."""
+    told = Summary.of(county_rows(spark, sf_dir))
+    figures = told.key_figures().select(
+        F.lit("figures").alias("screen"),
+        F.concat_ws(" / ", "Top_County", "Top_Disease").alias("name"),
+        F.col("Total_Cases").alias("cases"),
+        F.col("Avg_Rate").alias("rate"),
+    )
+    highest = told.max_rate_row().select(
+        F.lit("highest"), F.concat_ws(" / ", "Disease", "County", "Year", "Sex"), "Count", "Recalculated_Rate"
+    )
+    found = figures.union(highest)
+    for chart, key in ((told.disease_chart(), "Disease"), (told.yearly_chart(), "Year")):
+        found = found.union(chart.select(F.lit(key), F.col(key).cast("string"), "Cas_Totaux", "Taux_Moyen"))
+    sexes = told.sex_chart().select(F.lit("Sex"), "Sex", "Count", F.lit(None).cast("double"))
+    growth = told.year_growth().select(
+        F.lit("growth"), F.concat_ws(" / ", "first_year", "last_year", "trend"), "last_cases", "growth"
+    )
+    return _rounded(found.union(sexes).union(growth), "rate")
+
+
+def summary_map(spark, sf_dir):
+    """The map from the summary; equal to the one from the rows."""
+    points = Summary.of(county_rows(spark, sf_dir)).map_layer(tables.coordinates(spark, sf_dir))
+    return _points(points)
+
+
+def summary_preview(spark, sf_dir):
+    return Summary.of(_written_rows(spark, sf_dir)).preview()
+
+
 # Risk
 
 
@@ -502,6 +544,10 @@ QUERIES = {
     "yearly_chart": yearly_chart,
     "year_growth": year_growth,
     "map_layer": map_points,
+    "screen_summary": screen_summary,
+    "summary_charts": summary_charts,
+    "summary_map": summary_map,
+    "summary_preview": summary_preview,
     "priority_bands": priority_bands,
     "stand_in_metrics": stand_in_metrics,
     "county_risk": county_risk,
