@@ -17,7 +17,8 @@ def values(df):
     rounded = [
         F.round(name, 6).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes
     ]
-    return [tuple(row) for row in df.select(*rounded).collect()]
+    rows = df.select(*rounded).collect()
+    return [tuple("nan" if value != value else value for value in row) for row in rows]
 
 
 @pytest.fixture(scope="module")
