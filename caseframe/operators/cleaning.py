@@ -11,6 +11,7 @@ from caseframe.functions import (
     prevalence,
     whole_number,
 )
+from caseframe.operators.copies import numbered_copies
 from caseframe.schema import (
     DOTTED,
     DOUBLE_COLUMNS,
@@ -26,15 +27,20 @@ from caseframe.schema import (
 def with_id(df: DataFrame) -> DataFrame:
     """``Id`` from the unnamed index column, or generated.
 
-    Generated ids are unique within one frame only: they repeat between two
-    frames and may differ from run to run, so nothing joins on them. An index
-    written as ``12.0`` is 12; one that is no whole number fails the job.
+    A generated id is a hash of the row's content and of its number among equal
+    rows, so it is the same in every run and in every layout of the files. Two
+    different rows of n share one with a probability of about n² / 2⁶⁴; ids repeat
+    between two frames, so nothing joins on them. An index written as ``12.0`` is
+    12; one that is no whole number fails the job.
     """
     if RAW_INDEX in df.columns:
         return df.withColumnRenamed(RAW_INDEX, "Id").withColumn(
             "Id", whole_number(F.col("Id"))
         )
-    return df.withColumn("Id", F.monotonically_increasing_id())
+    names = [f"`{name}`" for name in df.columns]
+    # Nulls are part of the content: without their places, neighbours could be taken for each other.
+    missing = F.array(*(F.col(name).isNull() for name in names))
+    return numbered_copies(df, "_copy").withColumn("Id", F.xxhash64(missing, *names, "_copy")).drop("_copy")
 
 
 def with_prevalence(df: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from caseframe.operators.categories import (
     with_means,
     with_ranks,
 )
+from caseframe.operators.copies import numbered_copies
 from caseframe.operators.selection import years_after
 from caseframe.sources.working import materialise
 
@@ -83,8 +84,7 @@ def ordered_rows(rows: DataFrame, parts: int | None = None) -> DataFrame:
     """
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = rows.columns
-    copies = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
-    each = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies")
+    each = numbered_copies(rows, "_copy")
     return each.repartition(parts, *names, "_copy").sortWithinPartitions(*names, "_copy").drop("_copy")
 
 

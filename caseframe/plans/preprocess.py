@@ -2,9 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseframe.operators.cleaning import clean, row_report
-from caseframe.operators.selection import union_sets
-from caseframe.sources import read_clean, read_raw_lines, read_rows, write_clean, write_csv
+from caseframe.operators.cleaning import clean
+from caseframe.sources import publication, read_raw_lines, read_rows, write_clean, write_csv
 
 
 def preprocess(
@@ -12,19 +11,22 @@ def preprocess(
 ) -> DataFrame:
     """Clean both sets, write them, and return the row report.
 
-    Each raw set is scanned once, by the parquet write. The CSV copies and the
-    report read the parquet just written: the county and state folders for the
-    copies, and no data columns at all for the counts.
+    Each raw set is scanned once, by the parquet write, which also counts the rows
+    of the report. The CSV copies read the county and state folders of the parquet
+    just written.
 
-    Layout below ``out_dir``: ``parquet/{train,test}``, ``csv/{train,test}``
+    Outputs of ``out_dir``: ``parquet/{train,test}``, ``csv/{train,test}``
     with the county rows, ``csv/{train,test}_state`` with the state rows. Malformed
-    lines are counted in the report and kept as text under ``level=rejected``.
+    lines are counted in the report and kept as text under ``level=rejected``. All
+    outputs are published together, when the last one is written; until then, and
+    where the stage fails, readers see those of the run before.
     """
-    written = {}
-    for dataset, path in (("train", train_path), ("test", test_path)):
-        target = f"{out_dir}/parquet/{dataset}"
-        write_clean(clean(read_raw_lines(spark, path, multi_line)), target)
-        write_csv(read_rows(spark, target, "county"), f"{out_dir}/csv/{dataset}")
-        write_csv(read_rows(spark, target, "state"), f"{out_dir}/csv/{dataset}_state")
-        written[dataset] = read_clean(spark, target)
-    return row_report(union_sets(written["train"], written["test"]))
+    report = []
+    with publication(spark, out_dir) as staged:
+        for dataset, path in (("train", train_path), ("test", test_path)):
+            target = f"{staged}/parquet/{dataset}"
+            counts = write_clean(clean(read_raw_lines(spark, path, multi_line)), target)
+            report += [(dataset, level, n) for level, n in counts.items()]
+            for end, level in (("", "county"), ("_state", "state")):
+                write_csv(read_rows(spark, target, level), f"{staged}/csv/{dataset}{end}")
+    return spark.createDataFrame(report, "dataset string, level string, n_rows long")

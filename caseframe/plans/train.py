@@ -9,9 +9,10 @@ from caseframe.operators.forecast import (
     training_report,
     with_prediction,
 )
-from caseframe.operators.risk import band_predictions, prediction_columns
+from caseframe.operators.risk import band_predictions
 from caseframe.sources import (
     materialise,
+    publication,
     read_rows,
     write_model,
     write_predictions,
@@ -23,7 +24,8 @@ def train_and_score(spark: SparkSession, clean_dir: str, out_dir: str) -> DataFr
 
     The scored rows are written once and then serve both the export and the
     metrics, so the forest is applied to each test row a single time. The
-    metrics also tell how many training rows the fit used and left out.
+    metrics also tell how many training rows the fit used and left out. Model and
+    predictions are published together.
     """
     train = read_rows(spark, f"{clean_dir}/parquet/train")
     test = read_rows(spark, f"{clean_dir}/parquet/test")
@@ -33,9 +35,10 @@ def train_and_score(spark: SparkSession, clean_dir: str, out_dir: str) -> DataFr
             f"{clean_dir}/parquet/train has no county row with year, population and rate to fit on"
         )
     model = fit_rate_model(train)
-    write_model(model, f"{out_dir}/model")
     scored = materialise(with_prediction(model, test))
-    write_predictions(prediction_columns(band_predictions(scored)), f"{out_dir}/predictions")
+    with publication(spark, out_dir) as staged:
+        write_model(model, f"{staged}/model")
+        write_predictions(band_predictions(scored), f"{staged}/predictions")
     return evaluate(scored).withColumns(
         {name: F.lit(used[name]).cast("bigint") for name in ("n_train", "n_left_out")}
     )

@@ -44,7 +44,7 @@ COORDINATES = _struct(
     ("County", StringType), ("latitude", DoubleType), ("longitude", DoubleType)
 )
 
-# Columns a raw extract must carry. The unnamed index column is optional.
+# Columns a raw extract must carry. The unnamed index column is optional.
 RAW_REQUIRED = (
     "Disease",
     "County",
@@ -57,8 +57,10 @@ RAW_REQUIRED = (
     "CI.upper",
 )
 RAW_INDEX = "_c0"
-# The text of a line that is no row.
+# The text of a line that is no row, and the levels of rows.
 REJECTED = "_rejected"
+LEVELS = ("county", "state", "unassigned", "rejected")
+# Names with dots, and what stands for missing numbers.
 DOTTED = {"CI.lower": "CI_lower", "CI.upper": "CI_upper"}
 INT_COLUMNS = ("Year",)
 LONG_COLUMNS = ("Count", "Population")

@@ -1,6 +1,7 @@
 """Readers, writers and the working folder."""
 
 from caseframe.sources.layouts import file_headers, layouts, read_lines
+from caseframe.sources.publishing import manifest, publication, published
 from caseframe.sources.readers import (
     input_report,
     load_uncleaned,
@@ -29,8 +30,11 @@ __all__ = [
     "read_lines",
     "load_uncleaned",
     "load_uncleaned_predictions",
+    "manifest",
     "materialise",
     "new_path",
+    "publication",
+    "published",
     "read_clean",
     "read_clean_csv",
     "read_model",

@@ -34,6 +34,7 @@ from caseframe.schema import (
     STATE,
 )
 from caseframe.sources.layouts import layouts, read_lines
+from caseframe.sources.publishing import published
 
 _CASTS = {"int": lenient_int, "bigint": lenient_long, "double": lenient_double}
 
@@ -98,11 +99,11 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
 
 def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _as_schema(_good(_read_text(spark, path, CLEAN.names)), CLEAN)
+    return _as_schema(_good(_read_text(spark, published(spark, path), CLEAN.names)), CLEAN)
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _as_schema(_good(_read_text(spark, path, PREDICTIONS.names)), PREDICTIONS)
+    return _as_schema(_good(_read_text(spark, published(spark, path), PREDICTIONS.names)), PREDICTIONS)
 
 
 def input_report(
@@ -152,7 +153,8 @@ def input_report(
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return _open(lambda: spark.read.parquet(path), path)
+    """A table; where a stage published it, its current generation."""
+    return _open(lambda: spark.read.parquet(published(spark, path)), path)
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -166,7 +168,7 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         layout = StructType([*CLEAN, StructField("level", StringType(), True)])
-        rows = spark.read.schema(layout).parquet(path)
+        rows = spark.read.schema(layout).parquet(published(spark, path))
     # Without a known year in any row the folder names alone do not tell its type.
     return rows.withColumn("Year", F.col("Year").cast("int"))
 
@@ -185,7 +187,7 @@ def read_rows(spark: SparkSession, path: str, level: str = "county") -> DataFram
 
 
 def read_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(published(SparkSession.active(), path))
 
 
 def load_uncleaned(raw: DataFrame, state: str = STATE) -> DataFrame:

@@ -1,14 +1,15 @@
 """Sinks. Each one is an action and overwrites its target."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseframe.operators.cleaning import with_level
-from caseframe.schema import PREDICTIONS
+from caseframe.operators.risk import prediction_columns
+from caseframe.schema import LEVELS
 
 
-def write_clean(cleaned: DataFrame, path: str) -> None:
+def write_clean(cleaned: DataFrame, path: str) -> dict[str, int]:
     """Cleaned rows as parquet under ``level=.../Year=...``, in one pass over the input.
 
     County rows, state rows and rows without a county land in folders of their
@@ -16,14 +17,21 @@ def write_clean(cleaned: DataFrame, path: str) -> None:
     rebalance hint gathers the rows of a folder into files of the advisory
     size and splits a folder that holds a large share of all rows over many
     tasks; without it every task would write one file per folder.
+
+    Returns the rows written by level, counted by the write itself. They are counted
+    in the tasks that write, behind the shuffle: a result task counts once, however
+    often the shuffle is repeated for executors that were lost.
     """
-    rows = with_level(cleaned)
+    counts = Observation()
+    level = F.col("level")
+    rows = with_level(cleaned).hint("rebalance", "level", "Year")
     (
-        rows.hint("rebalance", "level", "Year")
+        rows.observe(counts, *(F.count_if(level == name).alias(name) for name in LEVELS))
         .write.mode("overwrite")
         .partitionBy("level", "Year")
         .parquet(path)
     )
+    return {name: n for name, n in counts.get.items() if n}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -32,7 +40,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
-    write_csv(predictions.select(*[F.col(name) for name in PREDICTIONS.names]), path)
+    write_csv(prediction_columns(predictions), path)
 
 
 def write_model(model: PipelineModel, path: str) -> None:

@@ -156,6 +156,10 @@ FROM cleaned WHERE County <> 'California'""",
 SELECT *, CASE WHEN Year >= {FIRST_TEST_YEAR} THEN 'test' ELSE 'train' END AS dataset,
        CASE WHEN County = 'California' THEN 'state' ELSE 'county' END AS level
 FROM cleaned WHERE County IS NOT NULL""",
+    "numbered_rows": f"""{_RAW},
+texts AS (SELECT Disease, County, CAST(Year AS VARCHAR) AS Year, Sex,
+                 CAST(Population AS VARCHAR) AS Population FROM raw)
+SELECT *, row_number() OVER (PARTITION BY Disease, County, Year, Sex, Population) AS copy FROM texts""",
     "clean_by_name": f"""{_CLEANED}
 SELECT *, CASE WHEN Id % 20 >= 10 THEN 'second' END AS Origin FROM cleaned""",
     "rejected_lines": f"""{_RAW}
@@ -408,5 +412,6 @@ SELECT County, Disease, Year, {_round("Population", 6)} AS Population,
        Population IS NOT NULL AS scored, TRUE AS within_range
 FROM grid""",
 }
+ORACLES["stage_report"] = ORACLES["raw_row_report"]
 ORACLES["summary_map"] = ORACLES["map_layer"]
 ORACLES["summary_preview"] = ORACLES["preview"]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from caseframe.operators import cleaning, overview, rankings, risk, selection
 from caseframe.operators.categories import feature_vectors, frequency_ranks, label_means
+from caseframe.operators.copies import numbered_copies
 from caseframe.operators.forecast import (
     CATEGORIES,
     LABEL,
@@ -72,11 +73,25 @@ def _raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stage_output(spark: SparkSession, sf_dir: str) -> str:
+def _run_stage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     raw, out = new_path(spark), new_path(spark)
     _raw_sets(spark, sf_dir).write.partitionBy("dataset").option("header", True).csv(raw)
-    preprocess_stage(spark, f"{raw}/dataset=train", f"{raw}/dataset=test", out)
-    return out
+    return preprocess_stage(spark, f"{raw}/dataset=train", f"{raw}/dataset=test", out), out
+
+
+def _stage_output(spark: SparkSession, sf_dir: str) -> str:
+    return _run_stage(spark, sf_dir)[1]
+
+
+def stage_report(spark, sf_dir):
+    """Rows by set and level, as the writes of the stage counted them."""
+    return _run_stage(spark, sf_dir)[0]
+
+
+def numbered_rows(spark, sf_dir):
+    """Raw rows without their index, each with its number among equal ones."""
+    rows = tables.raw_rows(spark, sf_dir).select("Disease", "County", "Year", "Sex", "Population")
+    return numbered_copies(rows, "copy")
 
 
 def preprocess(spark, sf_dir):
@@ -513,6 +528,8 @@ def forecast_scores(spark, sf_dir):
 QUERIES = {
     "preprocess": preprocess,
     "clean_csv_round_trip": clean_csv_round_trip,
+    "stage_report": stage_report,
+    "numbered_rows": numbered_rows,
     "clean_by_name": clean_by_name,
     "rejected_lines": rejected_lines,
     "input_report": input_check,
