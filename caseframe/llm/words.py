@@ -24,7 +24,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -105,6 +105,19 @@ class Words:
     first: np.ndarray
 
 
+def _word_hashes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words, a stretch of bytes at a time: the sums take eight bytes for each."""
+    hashes = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        upto = max(int(np.searchsorted(ends, starts[at] + _CHUNK, side="right")), at + 1)
+        base = starts[at]
+        sums = prefix_sums(lower[base : ends[upto - 1]])
+        hashes[at:upto] = stretch_hashes(sums, starts[at:upto] - base, ends[at:upto] - base)
+        at = upto
+    return hashes
+
+
 def words(
     data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR
 ) -> Words:
@@ -120,7 +133,7 @@ def words(
     ends_here[cuts - 1] = inside[1:-1][cuts - 1]
     starts = np.flatnonzero(starts_here)
     ends = np.flatnonzero(ends_here) + 1
-    hashes = stretch_hashes(prefix_sums(lower), starts, ends)
+    hashes = _word_hashes(lower, starts, ends)
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
