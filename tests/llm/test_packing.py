@@ -103,3 +103,32 @@ def test_two_documents_replace_the_smallest():
     counts[[6, 3, 2]] = [1, 1, 2]
     # Greedy: 6 + 3 with a gap of 1; 3 gives way to 2 + 2, which fill it.
     assert best_two_fit(counts, 10)[0] == ([(6, 1), (2, 2)], 1)
+
+
+def test_latin_texts_by_the_second_implementation_have_the_tokenizers_ids():
+    rng = generator(5)
+    whole, encoder = Tokenizer.from_file(TOKENIZER), Encoder(TOKENIZER)
+    assert encoder.second is not None
+    signs = [chr(code) for code in range(0x250)]
+    values = [a + b for a in signs[::3] for b in signs[::7]]
+    values += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    values += ["".join(rng.choice("aB1' .\n\t!é ß²\x85\xa0") for _ in range(80)) for _ in range(2000)]
+    values += ["the " * 5000, "a" * 499, "a" * 501, " " * 499 + "x", " " * 501 + "x", "\n \n" * 400, "Ab" * 3000]
+    values += [f"{word}'{end} 12{word}" for word in ("it", "É", "x9") for end in ("s", "t", "re", "S", "ll")]
+    taken = 0
+    for text, packed in zip(values, encoder.encode(values), strict=True):
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packed, "<u4").tolist() == expected, repr(text)
+        taken += encoder._is_plain(text) and encoder._is_latin(text)
+    assert taken > 0.5 * len(values)
+
+
+def test_the_second_implementation_needs_a_file_that_asks_for_it(tmp_path):
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        told = json.load(file)
+    told["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    assert Encoder(str(path)).second is None
