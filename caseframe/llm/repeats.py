@@ -43,7 +43,7 @@ from caseframe.llm.work import texts, whole_groups, written
 LENGTH = 200
 GRAM = 32
 HOT = 4096
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _PLACE_BITS = np.uint64(28)
 
 _PARSE = "text_key long, triggers array<long>, phrases array<long>, starts array<int>, counts array<int>"

@@ -52,7 +52,8 @@ _tables: dict[int, np.ndarray] = {}
 
 def _powers(base: int, count: int) -> np.ndarray:
     if base not in _tables or len(_tables[base]) < count:
-        _tables[base] = powers(base, max(count, _CHUNK + 1))
+        # Twice what is asked for, so that longer and longer texts seldom make a new one.
+        _tables[base] = powers(base, _CHUNK + 1 if count <= _CHUNK + 1 else 2 * count)
     return _tables[base][:count]
 
 
