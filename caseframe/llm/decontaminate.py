@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.words import NO_LETTER_OR_DIGIT, chunks, words
-from caseframe.llm.work import array_sum, texts
+from caseframe.llm.work import array_sum, free_names, texts
 
 FEATURES = 1 << 14
 RANK = 64
@@ -379,5 +379,6 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     row = F.xxhash64(F.col("doc_id").cast("long"), text)
     found = contaminated(documents.select(row.alias("doc_id"), text.alias("text")), benchmark)
-    found = found.select(F.col("doc_id").alias("_found")).distinct()
-    return documents.join(found.hint("merge"), row == F.col("_found"), "left_anti")
+    (name,) = free_names(documents, "found")
+    found = found.select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(found.hint("merge"), row == F.col(name), "left_anti")

@@ -22,7 +22,7 @@ table gives an empty result.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseframe.llm.work import texts, written
+from caseframe.llm.work import free_names, texts, written
 
 SALTS = 64
 
@@ -70,24 +70,22 @@ def exact_duplicates(documents: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def distinct_documents(documents: DataFrame, salts: int = SALTS) -> DataFrame:
     """One row of ``documents`` for each text, the one with the largest id, all columns."""
+    row_id, row_digest, keep_id, keep_digest = free_names(
+        documents, "row_id", "row_digest", "keep_id", "keep_digest"
+    )
     kept = (
         exact_duplicates(documents, salts)
         .filter("kept")
-        .select(F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_digest"))
+        .select(F.col("doc_id").alias(keep_id), F.unhex("text_sha256").alias(keep_digest))
         .distinct()
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = documents.withColumns(
         {
-            "_row_id": F.col("doc_id").cast("long"),
-            "_row_digest": F.unhex(F.sha2(text.cast("binary"), 256)),
+            row_id: F.col("doc_id").cast("long"),
+            row_digest: F.unhex(F.sha2(text.cast("binary"), 256)),
         }
     )
-    same = F.col("_row_id").eqNullSafe(F.col("_keep_id")) & (
-        F.col("_row_digest") == F.col("_keep_digest")
-    )
-    return (
-        marked.join(kept, same)
-        .dropDuplicates(["_row_id", "_row_digest"])
-        .select(*documents.columns)
-    )
+    same = F.col(row_id).eqNullSafe(F.col(keep_id)) & (F.col(row_digest) == F.col(keep_digest))
+    columns = [F.col(f"`{name}`") for name in documents.columns]
+    return marked.join(kept, same).dropDuplicates([row_id, row_digest]).select(*columns)

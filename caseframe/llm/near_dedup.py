@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.words import chunks, shingle_sets, words
-from caseframe.llm.work import components, groups, texts, written
+from caseframe.llm.work import components, free_names, groups, texts, written
 
 SKETCH = 64
 TILE = 256
@@ -328,8 +328,9 @@ def keep_one_of_each(documents: DataFrame, percent: int = 80, shingle: int = 5)
     Rows without an id stay: nothing can stand for them.
     """
     labels = near_duplicates(documents, percent, shingle)
+    (name,) = free_names(documents, "gone")
     gone = labels.filter("doc_id is not null").filter("not kept").select(
-        F.col("doc_id").alias("_gone")
+        F.col("doc_id").alias(name)
     )
-    same = F.col("doc_id").cast("long") == F.col("_gone")
+    same = F.col("doc_id").cast("long") == F.col(name)
     return documents.join(gone.distinct().hint("merge"), same, "left_anti")

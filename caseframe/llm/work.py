@@ -45,6 +45,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many lines before them as tell them from the columns of ``df``."""
+    taken = {name.lower() for name in df.columns}
+    before = "_"
+    while any((before + name).lower() in taken for name in names):
+        before += "_"
+    return [before + name for name in names]
+
+
 def texts(documents: DataFrame, *others: str) -> DataFrame:
     """``doc_id`` (long), ``text`` (null: empty) and the other columns named."""
     return documents.select(
