@@ -1,7 +1,14 @@
 """A training corpus from the documents table, in five stages.
 
 Each stage works on all rows that the one before it kept. All but the last
-return the columns of ``documents``; the last returns the packed pieces.
+return the columns of ``documents``, further ones and those with clashing names
+included; the last returns the packed pieces.
+
+A document without a text has none and packs as a separator. Documents without an
+id stay where no text equals theirs: nothing is near to them, and no group is named
+by them. Rows that repeat are exact copies, of which one stays, with the largest
+id; a text of any length is read whole. Without labels nothing is rejected, without
+benchmark items nothing is contaminated, and an empty table gives no pieces.
 """
 
 from pyspark.sql import DataFrame, SparkSession
