@@ -120,19 +120,30 @@ def _strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), np.uint8), offsets
 
 
+def _newton_sums(
+    x: np.ndarray, weights: np.ndarray, y: np.ndarray, weight: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Curvature and gradient of the logistic loss, some rows at a time."""
+    curve, gradient = np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1])
+    for at in range(0, len(x), 1024):
+        rows, own = x[at : at + 1024].astype(float), weight[at : at + 1024]
+        p = _probability(rows @ weights)
+        gradient += rows.T @ (own * (p - y[at : at + 1024]))
+        curve += (rows * (own * p * (1 - p))[:, None]).T @ rows
+    return curve, gradient
+
+
 def logistic(
     x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.3
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a ridge logistic regression, by Newton's method."""
-    x = np.column_stack([x, np.ones(len(x))]).astype(float)
+    x = _with_bias(x)
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     w = np.zeros(x.shape[1])
     for _ in range(15):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + penalty * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(curve, gradient)
+        curve, gradient = _newton_sums(x, w, y, weight)
+        step = np.linalg.solve(curve + np.diag(penalty), gradient + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -254,14 +265,15 @@ class CoTraining:
         """One Newton step of both views, by the labelled rows and the sums of the others."""
         y = self.y[~self.held]
         for turn, sums_ in enumerate(told):
-            x = self.views[turn][~self.held].astype(float)
             weights = self.weights[turn]
             size = len(weights)
-            p = _probability(x @ weights)
             penalty = np.full(size, self.RIDGE)
             penalty[-1] = 1e-3
-            curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-            gradient = x.T @ (p - y) + penalty * weights
+            curve, gradient = _newton_sums(
+                self.views[turn][~self.held], weights, y, np.ones(len(y))
+            )
+            curve += np.diag(penalty)
+            gradient += penalty * weights
             for label in (0, 1):
                 count = sums_[label, size, size]
                 if count:
