@@ -1,13 +1,15 @@
 """CSV files read by the names in their own headers.
 
 The files of a folder need not share a header: columns may be in another order,
-and a file may have columns that others lack. One job reads the first line of
-every file; files with equal headers are read together, and the layouts are
+and a file may have columns that others lack. The first line of every
+file is read; files with equal headers are read together, and the layouts are
 united by name. A line with more or fewer fields than its header is no row: it
 is kept as text in ``REJECTED``, where all other columns are null.
 """
 
 import csv
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -17,34 +19,44 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from caseframe.schema import REJECTED
 
-#: A split larger than any file to expect, so that each file is one.
-_WHOLE_FILE = 1 << 40
+#: Files that are opened side by side; opening one waits for the storage.
+_OPENED = 16
 
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``file`` and ``header``, the first line of each file that has one.
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file as Spark's text reader splits it, None where it has none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        line = jvm.org.apache.hadoop.io.Text()
+        found = jvm.org.apache.hadoop.util.LineReader(stream, conf).readLine(line)
+        return line.toString() if found else None
+    finally:
+        stream.close()
+
+
+def _first_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Each file that has a line, and that line.
 
-    A task per file reads its first lines and stops. The settings that give each
-    file a task of its own are those of a second session, not of the caller's.
+    The driver lists the files, as it does to plan any scan, and reads the first
+    buffer of each: the rest of a file is not read, however long it is. (A task that
+    hands its rows to Python reads its whole file, even if Python takes one line.)
     """
-    session = spark.newSession()
-    for name in ("maxPartitionBytes", "openCostInBytes"):
-        session.conf.set(f"spark.sql.files.{name}", _WHOLE_FILE)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-    lines = session.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.col("value").alias("header"),
-    )
-
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                if batch.column("start")[0].as_py() == 0:
-                    yield batch.select(["file", "header"])
-                return
-
-    return lines.mapInArrow(first, "file string, header string")
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(_OPENED) as pool:
+        lines = list(pool.map(lambda file: _first_line(spark, file), files))
+    return [(file, line) for file, line in zip(files, lines, strict=True) if line is not None]
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``header``, the first line of each file that has one."""
+    found = _first_lines(spark, path)
+    rows = spark.sparkContext.parallelize(found, max(len(found), 1))
+    return spark.createDataFrame(rows, "file string, header string")
 
 
 def column_names(header: str) -> list[str]:
@@ -62,8 +74,10 @@ def layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]
 
     The driver holds the names of the files, as it does to plan any scan.
     """
-    grouped = file_headers(spark, path).groupBy("header").agg(F.collect_list("file").alias("files"))
-    found = [(column_names(row["header"]), sorted(row["files"])) for row in grouped.collect()]
+    files = defaultdict(list)
+    for file, header in _first_lines(spark, path):
+        files[header].append(file)
+    found = [(column_names(header), sorted(of_header)) for header, of_header in files.items()]
     return sorted(found, key=lambda layout: (-len(layout[1]), layout[0]))
 
 

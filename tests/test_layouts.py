@@ -134,6 +134,22 @@ def test_headers_are_read_from_the_start_of_each_file_only(spark, tmp_path):
     assert rows.filter("Count <> 7 OR Population <> 1000").count() == 0 and rows.count() == 60_000
 
 
+def test_only_the_first_line_of_a_file_is_read_for_its_header(spark, tmp_path):
+    lines = "".join(f"{n},HIV,Kern,2001,Male,7,{n * n},1,0,2\n" for n in range(200_000))
+    whole = gzip.compress(f"{RAW_HEADER}\n{lines}".encode())
+    # Reading on would come to where the file breaks off.
+    (tmp_path / "a.csv.gz").write_bytes(whole[: len(whole) // 2])
+    assert [names for names, _ in layouts(spark, str(tmp_path))] == [column_names(RAW_HEADER)]
+
+
+def test_lines_may_end_in_any_way(spark, tmp_path):
+    for name, end in (("a", "\r\n"), ("b", "\r"), ("c", "\n"), ("d", "")):
+        (tmp_path / f"{name}.csv").write_bytes(f"{RAW_HEADER}{end}".encode())
+    (tmp_path / "e.csv").write_bytes(b"\n1,2")
+    found = {tuple(names): len(files) for names, files in layouts(spark, str(tmp_path))}
+    assert found == {tuple(column_names(RAW_HEADER)): 4, (): 1}
+
+
 def test_names_of_a_header():
     assert column_names('a,"b,c",,d') == ["a", "b,c", "_c2", "d"]
     assert column_names("") == []
