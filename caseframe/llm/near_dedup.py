@@ -213,6 +213,22 @@ def piece_links(
     return found
 
 
+def _to_smallest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The smallest node that the pairs connect a node with, and the node, for all others."""
+    parent: dict[int, int] = {}
+
+    def root(node):
+        while parent.setdefault(node, node) != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    return [(root(node), node) for node in parent if root(node) != node]
+
+
 def _links(percent: int):
     def run(frames):
         for piece in groups(frames, ["work_group", "low", "high"]):
@@ -222,17 +238,38 @@ def _links(percent: int):
                 continue
             sets = [np.frombuffer(value, np.uint64) for value in piece["shingles"]]
             nodes = piece["node"].tolist()
-            pairs = [
-                (nodes[a], nodes[b])
-                for a, b in piece_links(sets, sides, percent)
-                if nodes[a] != nodes[b]
-            ]
+            pairs = _to_smallest(
+                [(nodes[a], nodes[b]) for a, b in piece_links(sets, sides, percent)]
+            )
             if pairs:
                 yield pd.DataFrame(pairs, columns=["a", "b"])
 
     return run
 
 
+def stars(rows: DataFrame, others: str) -> DataFrame:
+    """Edges ``a``, ``b`` that connect what each ``node`` tied to all of its ``others`` does.
+
+    A node goes to the smallest of them, and that one to the others. Nodes that share
+    many of the others give these ties once for all, so the rows grow with the nodes
+    and with the distinct pairs of hubs, and not with the ties.
+    """
+    least = F.array_min(F.array_append(others, F.col("node")))
+    ends = F.array_distinct(F.array_append(others, F.col("node")))
+    edges = rows.select(least.alias("a"), F.explode(ends).alias("b"))
+    return edges.filter("a <> b").distinct()
+
+
+def fewer_links(links: DataFrame) -> DataFrame:
+    """Edges that connect what the links do, which pieces of one group find many times over.
+
+    A class has a link from each piece that it is in, to the smallest that it reached
+    there, so the number of its links is that of its group's tiles.
+    """
+    found = links.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("smaller"))
+    return stars(found, "smaller")
+
+
 def near_duplicates(
     documents: DataFrame, percent: int = 80, shingle: int = 5, tile: int = TILE
 ) -> DataFrame:
@@ -280,7 +317,7 @@ def near_duplicates(
         )
     )
     rare = written(rare)
-    ties = rare.select(F.col("node").alias("a"), F.explode(F.array_distinct("hubs")).alias("b"))
+    ties = written(stars(rare.select("node", "hubs"), "hubs"))
     tied = components(ties).withColumnRenamed("component", "work_group")
     members = written(rare.select("node", "set_key").join(tied, "node"))
     sizes = members.groupBy("work_group").agg(F.count("*").alias("size")).filter("size > 1")
@@ -302,7 +339,7 @@ def near_duplicates(
         .sortWithinPartitions(*piece, "node")
         .mapInPandas(_links(percent), "a long, b long")
     )
-    named = components(written(links.distinct()))
+    named = components(written(fewer_links(links)))
     reached = (
         known.select("set_key", "n_shingles", "node")
         .join(named, "node", "left")

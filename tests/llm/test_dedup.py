@@ -9,6 +9,7 @@ from caseframe.llm import near_dedup, repeats
 from caseframe.llm.exact_dedup import distinct_documents, exact_duplicates
 from caseframe.llm.near_dedup import keep_one_of_each, near_duplicates
 from caseframe.llm.queries import QUERIES
+from caseframe.llm.work import components
 from tests.llm.helpers import (
     SMALL,
     copies,
@@ -98,6 +99,30 @@ def test_near_query_links_at_85(spark):
     assert near_rows(found) == near_components(texts(small(spark, "documents")), 85)
 
 
+def test_near_edges_do_not_grow_with_the_tiles_of_a_group(spark, monkeypatch):
+    rng = generator(8)
+    words = sentence(rng, 120).split()
+    rows = [(at, " ".join(f"w{at}" if i == at % 120 else w for i, w in enumerate(words))) for at in range(360)]
+    given, whole = [], near_dedup.components
+
+    def counted(edges):
+        given.append(edges.count())
+        return whole(edges)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    found = near_duplicates(documents(spark, rows), 80, tile=12)
+    assert near_rows(found) == near_components(rows, 80)
+    # The smallest of each of the 30 tiles may be tied to that of each other.
+    assert len(given) == 2 and max(given) < 2 * len(rows)
+
+
+def test_stars_connect_what_the_ties_do(spark):
+    ties = [(5, [1, 2]), (6, [2, 3]), (7, [3]), (8, [8]), (2, [2]), (9, [12])]
+    edges = near_dedup.stars(spark.createDataFrame(ties, "node long, others array<long>"), "others")
+    plain = spark.createDataFrame([(n, o) for n, all in ties for o in all], "a long, b long")
+    assert sorted(components(edges).collect()) == sorted(components(plain).collect())
+
+
 def test_near_finds_long_texts_beyond_the_sketch(spark):
     rng = generator(5)
     rows = copies(rng, n_bases=2, n_copies=8, words=600)
