@@ -31,11 +31,12 @@ Extra columns are ignored; empty tables give an empty result.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.words import NO_LETTER_OR_DIGIT, chunks, words
-from caseframe.llm.work import array_sum, free_names, texts
+from caseframe.llm.work import array_sum, free_names, texts, written
 
 FEATURES = 1 << 14
 RANK = 64
@@ -48,7 +49,12 @@ WEAK = 0.6
 LEAST_ANSWER = 3
 _FIT_PASSAGE = 32
 _ROWS = 1 << 15
+#: Places that a sum takes one by one, and sums made side by side.
+_PIECE = 32
+_PIECES = 1024
+_SPLIT_BYTES = 1 << 18
 
+_SPLIT = "features binary"
 _MATCH = "doc_id long, item_id long, cosine double, lcs_ratio double, answer_found boolean, at_word long"
 
 
@@ -62,22 +68,38 @@ def _letter_words(batch):
         yield part, found, _features(found.hashes)
 
 
+def _split(batches):
+    """The columns of each text's words, two bytes a word."""
+    for batch in batches:
+        for _, found, features in _letter_words(batch):
+            bounds = pa.py_buffer((2 * found.first).astype(np.int64))
+            data = pa.py_buffer(features.astype(np.uint16))
+            column = pa.Array.from_buffers(
+                pa.large_binary(), len(found.first) - 1, [None, bounds, data]
+            )
+            yield pa.RecordBatch.from_arrays([column.cast(pa.binary())], ["features"])
+
+
+def _split_texts(batches):
+    """Where the texts that ``_split`` made begin, and their words' columns, some texts at a time."""
+    for batch in batches:
+        for _, data, offsets in chunks(batch, "features", _SPLIT_BYTES):
+            yield offsets // 2, data.view(np.uint16)
+
+
 def _document_counts(batches):
     counts, n = np.zeros(FEATURES + 1, np.int64), 0
-    for batch in batches:
-        for part, found, features in _letter_words(batch):
-            owner = np.repeat(np.arange(part.num_rows), np.diff(found.first))
-            pairs = np.unique(owner * FEATURES + features)
-            counts[:FEATURES] += np.bincount(pairs % FEATURES, minlength=FEATURES)
-            n += part.num_rows
+    for first, features in _split_texts(batches):
+        owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        pairs = np.unique(owner * FEATURES + features)
+        counts[:FEATURES] += np.bincount(pairs % FEATURES, minlength=FEATURES)
+        n += len(first) - 1
     counts[FEATURES] = n
     yield pd.DataFrame({"total": [counts.tobytes()]})
 
 
 def _as_pandas(run):
     """Read Arrow batches, yield pandas frames, as mapInArrow wants batches out."""
-    import pyarrow as pa
-
     def both(batches):
         for frame in run(batches):
             yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
@@ -85,21 +107,29 @@ def _as_pandas(run):
     return both
 
 
-def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of consecutive rows; the stretches begin at ``first`` and are not empty."""
-    return np.add.reduceat(rows, first, axis=0)
-
-
-def _projected(features: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sum of the weight rows of the words of each stretch."""
-    result = np.zeros((len(first), weights.shape[1]), np.float32)
-    ends = np.append(first[1:], len(features))
-    at = 0
-    while at < len(first):
-        upto = max(int(np.searchsorted(ends, first[at] + _ROWS, side="right")), at + 1)
-        some = weights[features[first[at] : ends[upto - 1]]]
-        result[at:upto] = _sums(some, first[at:upto] - first[at])
-        at = upto
+def _sums(rows: np.ndarray, places: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[places]`` over stretches that begin at ``first`` and are not empty.
+
+    Stretches are cut into pieces of at most ``_PIECE`` places, of which all first
+    rows are added up at once, then all second ones; then the pieces are.
+    """
+    ends = np.append(first[1:], len(places))
+    counts = -(-(ends - first) // _PIECE)
+    piece = np.cumsum(counts) - counts
+    starts = np.repeat(first - piece * _PIECE, counts) + np.arange(counts.sum()) * _PIECE
+    sizes = np.minimum(np.repeat(ends, counts) - starts, _PIECE)
+    result = np.empty((len(starts), rows.shape[1]), rows.dtype)
+    order = np.argsort((_PIECE - sizes).astype(np.uint8), kind="stable")
+    for low in range(0, len(order), _PIECES):
+        some = order[low : low + _PIECES]
+        begin, size = starts[some], sizes[some]
+        total = rows.take(places[begin], axis=0)
+        for at in range(1, size[0]):
+            n = len(size) - int(np.searchsorted(size[::-1], at, side="right"))
+            total[:n] += rows.take(places[begin[:n] + at], axis=0)
+        result[some] = total
+    if len(result) > len(first):
+        return _sums(result, np.arange(len(result)), piece)
     return result
 
 
@@ -118,29 +148,18 @@ def _gram(idf: np.ndarray, space: np.ndarray):
 
     def run(batches):
         total = np.zeros(space.shape)
-        for batch in batches:
-            for _, found, features in _letter_words(batch):
-                starts, _ = _stretches(found.first, _FIT_PASSAGE)
-                if not len(starts):
-                    continue
-                seen = _projected(features, weights, starts)
-                passage = np.repeat(
-                    np.arange(len(starts)), np.diff(np.append(starts, len(features)))
-                )
-                norms = np.sqrt(np.add.reduceat(idf[features] ** 2, starts)) + 1e-9
-                seen /= norms[:, None] ** 2
-                order = np.argsort(features, kind="stable")
-                new = np.flatnonzero(np.diff(features[order], prepend=-1))
-                bounds = np.append(new, len(order))
-                at = 0
-                while at < len(new):
-                    upto = max(int(np.searchsorted(bounds, bounds[at] + _ROWS)) - 1, at + 1)
-                    upto = min(upto, len(new))
-                    some = order[bounds[at] : bounds[upto]]
-                    total[features[order[new[at:upto]]]] += _sums(
-                        seen[passage[some]], new[at:upto] - bounds[at]
-                    )
-                    at = upto
+        for bounds, features in _split_texts(batches):
+            starts, _ = _stretches(bounds, _FIT_PASSAGE)
+            if not len(starts):
+                continue
+            seen = _sums(weights, features, starts)
+            passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(features))))
+            norms = np.sqrt(np.add.reduceat(idf[features] ** 2, starts)) + 1e-9
+            seen /= norms[:, None] ** 2
+            order = np.argsort(features, kind="stable")
+            own = features[order]
+            new = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            total[own[new]] += _sums(seen, passage[order], new)
         total = (total * idf[:, None]).astype(np.float32)
         yield pd.DataFrame({"total": [total.tobytes()]})
 
@@ -148,7 +167,10 @@ def _gram(idf: np.ndarray, space: np.ndarray):
 
 
 def latent_space(rows: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """Right singular vectors over singular values, times the words' weights."""
+    """Right singular vectors over singular values, times the words' weights.
+
+    ``rows`` are what ``_split`` made of the texts.
+    """
 
     def applied(space):
         partial = rows.mapInArrow(_as_pandas(_gram(idf, space)), "total binary")
@@ -166,8 +188,6 @@ class Items:
     """A block of benchmark items, by the window that suits their length."""
 
     def __init__(self, table: pd.DataFrame, space: np.ndarray, idf: np.ndarray):
-        import pyarrow as pa
-
         column = pa.array(table["text"].tolist(), pa.string())
         batch = pa.RecordBatch.from_arrays([column], ["text"])
         self.ids, self.words, self.answers, self.masks, features = [], [], [], [], []
@@ -210,14 +230,17 @@ class Items:
         self.rare, place = np.unique(
             np.concatenate([*rarest, np.zeros(0, np.uint64)]), return_inverse=True
         )
+        self.rare_features = np.zeros(FEATURES, bool)
+        self.rare_features[_features(self.rare)] = True
         ends = np.cumsum([len(own) for own in rarest], dtype=int)
         self.rare_of = [np.unique(part) for part in np.split(place, ends[:-1])] if rarest else []
 
-    def places(self, hashes: np.ndarray):
+    def places(self, hashes: np.ndarray, features: np.ndarray):
         """A function that gives where an item's rarest words are."""
-        at = np.minimum(np.searchsorted(self.rare, hashes), max(len(self.rare) - 1, 0))
-        where = np.flatnonzero(self.rare[at] == hashes) if len(self.rare) else at[:0]
-        word = at[where]
+        maybe = np.flatnonzero(self.rare_features[features])
+        at = np.minimum(np.searchsorted(self.rare, hashes[maybe]), max(len(self.rare) - 1, 0))
+        same = self.rare[at] == hashes[maybe]
+        where, word = maybe[same], at[same]
         order = np.argsort(word, kind="stable")
         bounds = np.searchsorted(word[order], np.arange(len(self.rare) + 1))
         of_word = [where[order[a:b]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -255,12 +278,17 @@ def common_subsequence(masks: dict[int, int], length: int, other: list[int]) ->
     """Length of the longest common subsequence, with a bit for each word of the item."""
     full = (1 << length) - 1
     row = full
-    for word in other:
-        both = row & masks.get(word, 0)
+    for mask in filter(None, map(masks.get, other)):
+        both = row & mask
         row = ((row + both) | (row - both)) & full
     return length - row.bit_count()
 
 
+def most_in_common(masks: dict[int, int], length: int, other: list[int]) -> int:
+    """No common subsequence is longer: each distinct word of the item that is not there is missing."""
+    return length - len(masks) + len(masks.keys() & other)
+
+
 def _contains(other: list[int], answer: list[int]) -> bool:
     n = len(answer)
     return any(
@@ -276,9 +304,10 @@ def _matches(found, features, space: np.ndarray, items: Items):
     if not len(starts):
         return
     pieces = np.zeros((len(starts) + 1, space.shape[1]))
-    np.cumsum(_projected(features, space, starts), axis=0, out=pieces[1:])
+    pieces[1:] = _sums(space, features, starts)
+    np.cumsum(pieces, axis=0, out=pieces)
     last = np.searchsorted(owner, owner, side="right")
-    rare = items.places(found.hashes)
+    rare = items.places(found.hashes, features)
     at = np.arange(len(starts))
     for window, some in zip(WINDOWS, items.of_window, strict=True):
         if not len(some):
@@ -286,17 +315,19 @@ def _matches(found, features, space: np.ndarray, items: Items):
         end = np.minimum(at + window // STRIDE, last)
         # The tail of a text is inside the last full window.
         use = np.flatnonzero((at + window // STRIDE <= last) | (np.diff(owner, prepend=-1) > 0))
-        vectors = items.vectors[some].T.astype(np.float32)
+        vectors = items.vectors[some].astype(np.float32)
         for low in range(0, len(use), _ROWS):
             rows = use[low : low + _ROWS]
-            passages = _unit((pieces[end[rows]] - pieces[rows]).astype(np.float32))
-            cosines = passages @ vectors
-            near = cosines >= items.least[some]
+            cosines = np.empty((len(some), len(rows)), np.float32)
+            for part in range(0, len(rows), _PIECES):
+                few = rows[part : part + _PIECES]
+                passages = pieces.take(end[few], axis=0) - pieces.take(few, axis=0)
+                cosines[:, part : part + _PIECES] = vectors @ _unit(passages.astype(np.float32)).T
+            near = cosines >= items.least[some][:, None]
             checked: dict[tuple[int, int, int], tuple[float, bool]] = {}
-            for column, item in enumerate(items.item_of[part] for part in some.tolist()):
-                close = np.flatnonzero(near[:, column])
-                if not len(close):
-                    continue
+            for column in np.flatnonzero(near.any(axis=1)).tolist():
+                item = items.item_of[some[column]]
+                close = np.flatnonzero(near[column])
                 place = rows[close]
                 text = owner[place]
                 n = len(items.words[item])
@@ -309,14 +340,18 @@ def _matches(found, features, space: np.ndarray, items: Items):
                     key = item, int(begin[one]), int(stop[one])
                     if key not in checked:
                         other = found.hashes[key[1] : key[2]].tolist()
-                        ratio = common_subsequence(items.masks[item], n, other) / n
+                        ratio = most_in_common(items.masks[item], n, other) / n
+                        if ratio >= WEAK:
+                            ratio = common_subsequence(items.masks[item], n, other) / n
+                        else:
+                            ratio = 0.0
                         answer = ratio >= WEAK and bool(items.answers[item])
                         checked[key] = ratio, answer and _contains(other, items.answers[item])
                     ratio, answer = checked[key]
                     if ratio >= LCS or answer:
                         own = int(text[one])
                         at_word = int(starts[place[one]] - found.first[own])
-                        yield own, item, float(cosines[close[one], column]), ratio, answer, at_word
+                        yield own, item, float(cosines[column, close[one]]), ratio, answer, at_word
 
 
 def _searched(space: np.ndarray, items: Items):
@@ -346,13 +381,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).dropna(subset=["text"])
+    split = written(rows.select("text").mapInArrow(_split, _SPLIT))
     counts = array_sum(
-        rows.mapInArrow(_as_pandas(_document_counts), "total binary"),
+        split.mapInArrow(_as_pandas(_document_counts), "total binary"),
         "total",
         np.zeros(FEATURES + 1, np.int64),
     )
     idf = np.log((counts[FEATURES] + 1) / (counts[:FEATURES] + 1)) + 0.1
-    space = latent_space(rows.select("text").unionByName(items.select("text")), idf)
+    of_items = items.select("text").mapInArrow(_split, _SPLIT)
+    space = latent_space(split.unionByName(of_items), idf)
     blocks = -(-items.count() // ITEMS)
     found = spark.createDataFrame([], _MATCH)
     for block in range(blocks):

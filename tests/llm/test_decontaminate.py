@@ -1,3 +1,5 @@
+import numpy as np
+
 from caseframe.llm import decontaminate
 from caseframe.llm.queries import QUERIES
 from tests.llm.helpers import SMALL, documents, generator, sentence, small, texts
@@ -124,6 +126,36 @@ def test_space_is_fitted_on_all_rows(spark, monkeypatch):
     assert seen == [30_001]
 
 
+def test_texts_are_split_once_for_the_space_and_the_counts(spark, monkeypatch):
+    rng = generator(5)
+    rows = [(at, sentence(rng, rng.randrange(40))) for at in range(50)] + [(50, None), (51, "a " * 400)]
+    df = decontaminate.texts(documents(spark, rows))
+    split = df.select("text").mapInArrow(decontaminate._split, decontaminate._SPLIT).collect()
+    expected = [
+        decontaminate._features(decontaminate._word_hashes(text or "")).tolist() for _, text in rows
+    ]
+    assert [np.frombuffer(row["features"], np.uint16).tolist() for row in split] == expected
+
+
+def test_sums_equal_plain_ones():
+    rng = np.random.default_rng(0)
+    rows = rng.integers(0, 100, (500, 3)).astype(np.float32)
+    places = rng.integers(0, 500, 9000)
+    # Stretches of one place, of a piece, of more and of several rounds of pieces.
+    for first in ([0, 1, 2, 34, 67, 70, 5000], [0], list(range(0, 9000, 8))):
+        expected = np.add.reduceat(rows[places], first, axis=0)
+        assert (decontaminate._sums(rows, places, np.array(first)) == expected).all()
+
+
+def test_no_common_subsequence_is_longer_than_the_bound():
+    rng = np.random.default_rng(0)
+    for _ in range(500):
+        own, other = (rng.integers(0, 8, rng.integers(1, 12)).tolist() for _ in range(2))
+        masks = decontaminate._masks(own)
+        found = decontaminate.common_subsequence(masks, len(own), other)
+        assert found <= decontaminate.most_in_common(masks, len(own), other) <= len(own)
+
+
 def test_null_and_repeated_ids(spark):
     bench = [(None, sentence(generator(1), 20)), (2**53 + 1, sentence(generator(2), 20))]
     rows = [(None, bench[0][1]), (None, "clean"), (4, bench[1][1]), (4, "clean too"), (5, None)]
