@@ -149,7 +149,9 @@ def rejected_lines(spark, sf_dir):
 
 def input_check(spark, sf_dir):
     """What is there of a raw set, of one without two columns, of none, and of a cleaned set."""
-    raw, paths = tables.raw_rows(spark, sf_dir), {name: new_path(spark) for name in "abcd"}
+    # Three sets are written from the rows: their joins run once.
+    raw = materialise(tables.raw_rows(spark, sf_dir))
+    paths = {name: new_path(spark) for name in "abcd"}
     raw.write.option("header", True).csv(paths["a"])
     raw.drop("Rate", "CI.upper").write.option("header", True).csv(paths["b"])
     other = cleaning.clean(raw).withColumn("Count", F.col("Count").cast("double"))
