@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.words import chunks, shingle_sets, words
-from caseframe.llm.work import components, free_names, groups, texts, written
+from caseframe.llm.work import components, free_names, groups, small_batches, texts, written
 
 SKETCH = 64
 TILE = 256
@@ -278,8 +278,10 @@ def near_duplicates(
     Documents are linked when 100 * intersection >= percent * union of their
     sets. A component has the smallest id that can be reached.
     """
+    spark = documents.sparkSession
     rows = texts(documents)
-    sketches = written(rows.mapInArrow(_sketches(shingle), _SKETCHES))
+    with small_batches(spark):
+        sketches = written(rows.mapInArrow(_sketches(shingle), _SKETCHES))
     classes = written(
         sketches.filter("n_shingles > 0")
         .groupBy("set_key", "n_shingles")
@@ -333,13 +335,15 @@ def near_duplicates(
     # Merged at any size, so that small tables move what large ones do.
     work = rows.join(plan.hint("merge"), "doc_id").mapInArrow(_work(shingle), _WORK)
     piece = ["work_group", "low", "high"]
-    width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = (
         work.repartition(width, *piece)
         .sortWithinPartitions(*piece, "node")
         .mapInPandas(_links(percent), "a long, b long")
     )
-    named = components(written(fewer_links(links)))
+    with small_batches(spark):
+        edges = written(fewer_links(links))
+    named = components(edges)
     reached = (
         known.select("set_key", "n_shingles", "node")
         .join(named, "node", "left")

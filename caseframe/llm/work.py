@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 
 #: Shuffle files of a written intermediate go when the write has ended.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows go to Python in batches of so many bytes: 10,000 long rows at once take an
+#: executor's memory several times over, in the JVM's buffers and in the worker's.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BYTES = 4 << 20
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -45,6 +50,22 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on, batches for Python are bounded in bytes in all jobs of the session."""
+    spark.conf.set(_BATCH_BYTES, str(_BYTES))
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches for Python are bounded in bytes in the jobs that run inside."""
+    before = spark.conf.get(_BATCH_BYTES)
+    bound_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, with as many lines before them as tell them from the columns of ``df``."""
     taken = {name.lower() for name in df.columns}

@@ -19,7 +19,7 @@ from caseframe.llm.exact_dedup import distinct_documents
 from caseframe.llm.near_dedup import keep_one_of_each
 from caseframe.llm.packing import pack
 from caseframe.llm.queries import TOKENIZER
-from caseframe.llm.work import written
+from caseframe.llm.work import bound_batches, written
 
 #: Whether two documents are near-duplicates: words of a shingle, percent in common.
 SHINGLE, PERCENT = 5, 80
@@ -27,6 +27,7 @@ SHINGLE, PERCENT = 5, 80
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of low quality or with toxic text go."""
+    bound_batches(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -42,6 +43,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
+    bound_batches(spark)
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

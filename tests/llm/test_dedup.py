@@ -223,3 +223,18 @@ def test_kept_bytes_have_the_digest(spark):
     found = repeats.remove_repeats(small(spark, "documents"), with_kept=True).collect()
     assert all(hashlib.sha256(row["kept"]).hexdigest() == row["kept_sha256"] for row in found)
     assert any(row["n_removed"] for row in found)
+
+
+def test_sets_go_to_python_in_batches_of_bounded_bytes(spark, monkeypatch):
+    name, write, seen = "spark.sql.execution.arrow.maxBytesPerBatch", near_dedup.written, []
+
+    def noted(df):
+        seen.append(spark.conf.get(name))
+        return write(df)
+
+    monkeypatch.setattr(near_dedup, "written", noted)
+    spark.conf.unset(name)
+    before = spark.conf.get(name)
+    near_duplicates(documents(spark, EDGES)).collect()
+    assert seen.count(str(4 << 20)) == 2
+    assert spark.conf.get(name) == before
