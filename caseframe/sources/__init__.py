@@ -17,6 +17,7 @@ from caseframe.sources.readers import (
 )
 from caseframe.sources.working import materialise, new_path
 from caseframe.sources.writers import (
+    unsorted_writes,
     write_clean,
     write_csv,
     write_model,
@@ -43,6 +44,7 @@ __all__ = [
     "read_raw",
     "read_raw_lines",
     "read_rows",
+    "unsorted_writes",
     "write_clean",
     "write_csv",
     "write_model",

@@ -1,13 +1,31 @@
 """Sinks. Each one is an action and overwrites its target."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caseframe.operators.cleaning import with_level
 from caseframe.operators.risk import prediction_columns
 from caseframe.schema import LEVELS
 
+#: Files that a task of a write by folders holds open, before it sorts what is left.
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+_OPENED = 32
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Writes by folders inside need no sort of the rows, where a task has few folders."""
+    before = spark.conf.get(_OPEN_FILES)
+    spark.conf.set(_OPEN_FILES, str(_OPENED))
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
+
 
 def write_clean(cleaned: DataFrame, path: str) -> dict[str, int]:
     """Cleaned rows as parquet under ``level=.../Year=...``, in one pass over the input.

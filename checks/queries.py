@@ -43,6 +43,7 @@ from caseframe.sources import (
     read_raw,
     read_raw_lines,
     read_rows,
+    unsorted_writes,
     write_clean,
     write_model,
     write_predictions,
@@ -75,7 +76,8 @@ def _raw_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_stage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     raw, out = new_path(spark), new_path(spark)
-    _raw_sets(spark, sf_dir).write.partitionBy("dataset").option("header", True).csv(raw)
+    with unsorted_writes(spark):
+        _raw_sets(spark, sf_dir).write.partitionBy("dataset").option("header", True).csv(raw)
     return preprocess_stage(spark, f"{raw}/dataset=train", f"{raw}/dataset=test", out), out
 
 
