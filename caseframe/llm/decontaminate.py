@@ -52,7 +52,7 @@ _ROWS = 1 << 15
 #: Places that a sum takes one by one, and sums made side by side.
 _PIECE = 32
 _PIECES = 1024
-_SPLIT_BYTES = 1 << 18
+_SPLIT_BYTES = 1 << 20
 
 _SPLIT = "features binary"
 _MATCH = "doc_id long, item_id long, cosine double, lcs_ratio double, answer_found boolean, at_word long"
@@ -91,8 +91,12 @@ def _document_counts(batches):
     counts, n = np.zeros(FEATURES + 1, np.int64), 0
     for first, features in _split_texts(batches):
         owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        pairs = np.unique(owner * FEATURES + features)
-        counts[:FEATURES] += np.bincount(pairs % FEATURES, minlength=FEATURES)
+        # Sorted here, because numpy finds distinct integers by hashing, which takes longer.
+        kind = np.uint32 if len(first) * FEATURES < 1 << 32 else np.uint64
+        pairs = np.sort((owner * FEATURES + features).astype(kind))
+        new = np.ones(len(pairs), bool)
+        new[1:] = pairs[1:] != pairs[:-1]
+        counts[:FEATURES] += np.bincount(pairs[new] % FEATURES, minlength=FEATURES)
         n += len(first) - 1
     counts[FEATURES] = n
     yield pd.DataFrame({"total": [counts.tobytes()]})
@@ -120,13 +124,14 @@ def _sums(rows: np.ndarray, places: np.ndarray, first: np.ndarray) -> np.ndarray
     sizes = np.minimum(np.repeat(ends, counts) - starts, _PIECE)
     result = np.empty((len(starts), rows.shape[1]), rows.dtype)
     order = np.argsort((_PIECE - sizes).astype(np.uint8), kind="stable")
+    taken = np.empty((min(_PIECES, len(order)), rows.shape[1]), rows.dtype)
     for low in range(0, len(order), _PIECES):
         some = order[low : low + _PIECES]
         begin, size = starts[some], sizes[some]
         total = rows.take(places[begin], axis=0)
         for at in range(1, size[0]):
             n = len(size) - int(np.searchsorted(size[::-1], at, side="right"))
-            total[:n] += rows.take(places[begin[:n] + at], axis=0)
+            total[:n] += rows.take(places[begin[:n] + at], axis=0, out=taken[:n], mode="clip")
         result[some] = total
     if len(result) > len(first):
         return _sums(result, np.arange(len(result)), piece)
@@ -233,10 +238,13 @@ class Items:
         self.rare_features = np.zeros(FEATURES, bool)
         self.rare_features[_features(self.rare)] = True
         ends = np.cumsum([len(own) for own in rarest], dtype=int)
-        self.rare_of = [np.unique(part) for part in np.split(place, ends[:-1])] if rarest else []
+        parts = np.split(place, ends[:-1]) if rarest else []
+        counted = [np.unique(part, return_counts=True) for part in parts]
+        self.rare_of = [own for own, _ in counted]
+        self.rare_times = [times for _, times in counted]
 
     def places(self, hashes: np.ndarray, features: np.ndarray):
-        """A function that gives where an item's rarest words are."""
+        """A function that gives where an item's rarest words are, and which is there."""
         maybe = np.flatnonzero(self.rare_features[features])
         at = np.minimum(np.searchsorted(self.rare, hashes[maybe]), max(len(self.rare) - 1, 0))
         same = self.rare[at] == hashes[maybe]
@@ -244,7 +252,28 @@ class Items:
         order = np.argsort(word, kind="stable")
         bounds = np.searchsorted(word[order], np.arange(len(self.rare) + 1))
         of_word = [where[order[a:b]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        return lambda item: np.sort(np.concatenate([of_word[w] for w in self.rare_of[item]]))
+
+        def of_item(item: int) -> tuple[np.ndarray, np.ndarray]:
+            found = [of_word[w] for w in self.rare_of[item]]
+            where = np.concatenate(found)
+            which = np.repeat(np.arange(len(found)), [len(own) for own in found])
+            order = np.argsort(where, kind="stable")
+            return where[order], which[order]
+
+        return of_item
+
+    def enough(self, item: int, which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which stretches of ``which`` hold different words of the item for as many as must be there."""
+        sizes = high - low
+        maybe = np.flatnonzero(sizes >= self.must[item])
+        if not len(maybe):
+            return maybe
+        sizes = sizes[maybe]
+        row = np.repeat(np.arange(len(maybe)), sizes)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes - low[maybe], sizes)
+        there = np.zeros((len(maybe), len(self.rare_of[item])), bool)
+        there[row, which[at]] = True
+        return maybe[there @ self.rare_times[item] >= self.must[item]]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -306,7 +335,7 @@ def _matches(found, features, space: np.ndarray, items: Items):
     pieces = np.zeros((len(starts) + 1, space.shape[1]))
     pieces[1:] = _sums(space, features, starts)
     np.cumsum(pieces, axis=0, out=pieces)
-    last = np.searchsorted(owner, owner, side="right")
+    last = np.cumsum(np.bincount(owner))[owner]
     rare = items.places(found.hashes, features)
     at = np.arange(len(starts))
     for window, some in zip(WINDOWS, items.of_window, strict=True):
@@ -334,9 +363,9 @@ def _matches(found, features, space: np.ndarray, items: Items):
                 slack = max(n, STRIDE)
                 begin = np.maximum(found.first[text], starts[place] - slack)
                 stop = np.minimum(found.first[text + 1], starts[place] + window + slack)
-                where = rare(item)
-                there = np.searchsorted(where, stop) - np.searchsorted(where, begin)
-                for one in np.flatnonzero(there >= items.must[item]).tolist():
+                where, which = rare(item)
+                low_at, high_at = np.searchsorted(where, begin), np.searchsorted(where, stop)
+                for one in items.enough(item, which, low_at, high_at).tolist():
                     key = item, int(begin[one]), int(stop[one])
                     if key not in checked:
                         other = found.hashes[key[1] : key[2]].tolist()

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 
 from caseframe.llm import decontaminate
 from caseframe.llm.queries import QUERIES
@@ -164,3 +165,16 @@ def test_null_and_repeated_ids(spark):
     assert {(row["doc_id"], row["item_id"]) for row in found} == {(None, None), (4, 2**53 + 1)}
     kept = decontaminate.without_contaminated(df, items(spark, bench)).collect()
     assert {(row["doc_id"], row["text"]) for row in kept} == {(None, "clean"), (4, "clean too"), (5, None)}
+
+
+def test_a_rare_word_that_repeats_stands_for_one_word_of_the_item():
+    text = " ".join(f"word{number}" for number in range(20))
+    rng = np.random.default_rng(0)
+    space = rng.normal(size=(decontaminate.FEATURES, 4)).astype(np.float32)
+    table = pd.DataFrame({"item_id": ["1"], "text": [text]})
+    items = decontaminate.Items(table, space, np.ones(decontaminate.FEATURES))
+    whole = decontaminate._word_hashes(text)
+    for passage, expected in ((whole, [0]), (np.repeat(whole[:1], 20), []), (whole[:0], [])):
+        where, which = items.places(passage, decontaminate._features(passage))(0)
+        bounds = np.array([0]), np.array([len(where)])
+        assert items.enough(0, which, *bounds).tolist() == expected
