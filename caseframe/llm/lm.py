@@ -4,27 +4,33 @@ Tokens are the lower-cased words of a text and one end. The corpus is read once
 into blocks: a block holds the token sequence of a few megabytes of text as
 places in its own vocabulary, so later passes neither read nor split texts.
 
-* Counts: every block asks for its distinct words; Spark sums them over all
-  training documents and answers each block (words of a block, not of a text,
-  are what is shuffled).
+* Counts: the words of a block are dealt to buckets by hash, as many buckets as
+  there are words for; a bucket adds up its words over all training documents.
 * Classes: the most frequent words are classes of their own, all others fall
-  into classes by the hash of their last two bytes. The network predicts the
-  class; a word of a shared class has its smoothed share of that class, and so
-  do words never seen. The probabilities of all words add up to one with one
-  unseen word per shared class.
+  into classes by the hash of their last two bytes.
 * Network: the sum of the context classes' vectors, each scaled by a vector of
   its distance, is multiplied with the vectors of all classes. Training uses
   noise-contrastive estimation with noise from the class counts. All training
   documents are used: each task runs over its blocks, and the tasks' models are
   averaged, once after a first share of the blocks and once after the rest.
+* Words: every word of a shared class, however rare, has two vectors of its own.
+  One is for the word as prediction: multiplied with the vector of the class
+  before it, it moves the word's smoothed share of its class. The other is for the word
+  as context: multiplied with the vectors of all classes, it moves the
+  network's prediction of the class that follows. Both are found by
+  noise-contrastive estimation from all of the word's occurrences, with the
+  expected noise in place of drawn noise, so each bucket trains its words alone.
+  Words never seen in training have vectors of zero.
 * Scores: products of a batch of contexts with all classes, normalised by their
-  sum, give the log-probability of every token.
+  sum, give the log-probability of every token's class. The weights of all words
+  of a class are added up over the buckets for each class before it, and a word's
+  weight is divided by that sum. So the probabilities of all words add up to one
+  with one unseen word per shared class.
 
 Null and empty texts have the end as only token. A null id is read as the empty
 text when documents are told apart, each row is scored, also repeated ones, and
 extra columns are ignored. Without training documents every count is zero and
-the classes keep their smoothed start. An empty table gives an empty result. A
-text may have up to 8 million different words, and a word occur 10**12 times.
+the classes keep their smoothed start. An empty table gives an empty result.
 """
 
 import zlib
@@ -37,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseframe.llm.words import chunks, mixed, words
-from caseframe.llm.work import texts, written
+from caseframe.llm.work import array_sum, small_batches, texts, written
 
 FREQUENT = 96
 SHARED = 32
@@ -49,20 +55,38 @@ RATE = 0.1
 BLOCK_BYTES = 4 << 20
 END = np.uint64(0x0E5D_0F7E_87AB_CDEF)
 _FIRST_SHARE = 4
-#: A place in a block's vocabulary and a word's count share 63 bits.
-_COUNT_BITS = 40
+#: Words of blocks in a bucket, about, and words trained at a time.
+BUCKET_WORDS = 400_000
+_SOME_WORDS = 512
+#: Numbers in a word's own vectors, steps towards them, the weight that holds them at zero,
+#: and the parts of one in which they are kept.
+WORD_WIDTH = 16
+STEPS = 6
+PRIOR = 10.0
+FINE = 8
+#: What a bucket tells a block of each of its words.
+_ANSWER = np.dtype(
+    [("class", "u1"), ("n", "<i8"), ("before", "i1", WORD_WIDTH), ("after", "i1", WORD_WIDTH)]
+)
 
 _BLOCK = (
-    "block long, vocabulary binary, shared binary, tokens binary, n_words binary,"
-    " doc_ids array<long>, held_out binary"
+    "block long, n_distinct long, vocabulary binary, shared binary, tokens binary,"
+    " n_words binary, doc_ids array<long>, held_out binary"
 )
-_ASKED = "block long, slot int, word long, shared int, n long"
+_COUNTED = "bucket int, words binary, shared binary, n binary"
+_SUMMED = "word long, shared int, n long, n_distinct long"
+_ASKED = "block long, bucket int, words binary, classes binary, before binary, after binary"
+_ANSWERED = "block long, bucket int, answer binary, weights binary"
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
     " base_score double, score double"
 )
 
 
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(",")]
+
+
 def _block(block: int, part, data, offsets, shared: int) -> pa.RecordBatch:
     found = words(data, offsets)
     n_words = np.diff(found.first)
@@ -75,26 +99,37 @@ def _block(block: int, part, data, offsets, shared: int) -> pa.RecordBatch:
     last = np.zeros(len(tokens), np.uint64)
     before = np.maximum(found.ends - 2, found.starts)
     last[~is_end] = data[found.ends - 1].astype(np.uint64) << np.uint64(8) | data[before]
-    if len(vocabulary) >> (63 - _COUNT_BITS):
-        raise ValueError("a text has more than 8 million different words")
     kind = (mixed(last[first]) % np.uint64(shared)).astype(np.uint8)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block], pa.int64()),
+            pa.array([len(vocabulary)], pa.int64()),
             pa.array([vocabulary.tobytes()], pa.binary()),
             pa.array([kind.tobytes()], pa.binary()),
-            pa.array([_packed(places, len(vocabulary))], pa.binary()),
+            pa.array([_deflated(places.astype(_place_type(len(vocabulary))))], pa.binary()),
             pa.array([n_words.astype(np.int64).tobytes()], pa.binary()),
             pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
             pa.array([np.array(part.column("held_out").to_pylist(), bool).tobytes()], pa.binary()),
         ],
-        ["block", "vocabulary", "shared", "tokens", "n_words", "doc_ids", "held_out"],
+        _names(_BLOCK),
     )
 
 
-def _packed(places: np.ndarray, count: int) -> bytes:
-    """Places below ``count`` in as few bytes as hold them, deflated."""
-    return zlib.compress(places.astype(np.uint16 if count <= 1 << 16 else np.uint32).tobytes(), 1)
+def _deflated(numbers: np.ndarray) -> bytes:
+    """Numbers deflated, the first byte of each before the second of each, and so on."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def _inflated(value: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zlib.decompress(value), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def _place_type(count: int):
+    """Places below ``count`` take as few bytes as hold them."""
+    return np.uint16 if count <= 1 << 16 else np.uint32
 
 
 def _blocks(size: int, shared: int):
@@ -113,10 +148,11 @@ class Block:
     """One row of the block table as arrays."""
 
     def __init__(self, row: dict):
-        self.vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
-        self.shared = np.frombuffer(row["shared"], np.uint8)
-        kind = np.uint16 if len(self.vocabulary) <= 1 << 16 else np.uint32
-        self.tokens = np.frombuffer(zlib.decompress(row["tokens"]), kind)
+        self.n_distinct = row["n_distinct"]
+        if "vocabulary" in row:
+            self.vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
+            self.shared = np.frombuffer(row["shared"], np.uint8)
+        self.tokens = _inflated(row["tokens"], _place_type(self.n_distinct))
         self.n_tokens = np.frombuffer(row["n_words"], np.int64) + 1
         self.held_out = np.frombuffer(row["held_out"], bool)
         self.document = np.repeat(np.arange(len(self.n_tokens), dtype=np.int32), self.n_tokens)
@@ -148,22 +184,126 @@ def _rows(batch: pa.RecordBatch):
         yield row
 
 
-def _asked(batches):
-    for batch in batches:
-        for row in _rows(batch):
-            block = Block(row)
-            trained = ~block.held_out[block.document]
-            n = np.bincount(block.tokens[trained], minlength=len(block.vocabulary))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(n), row["block"], np.int64)),
-                    pa.array(np.arange(len(n), dtype=np.int32)),
-                    pa.array(block.vocabulary.view(np.int64)),
-                    pa.array(block.shared.astype(np.int32)),
-                    pa.array(n.astype(np.int64)),
-                ],
-                ["block", "slot", "word", "shared", "n"],
-            )
+def _cut(words: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """Bucket, first and end of each stretch of the sorted hashes that is in one bucket."""
+    if not len(words):
+        return []
+    # Buckets are ranges of the hashes, so that sorted words are sorted by bucket.
+    bucket = ((words >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    return list(zip(bucket[first].tolist(), first, [*first[1:], len(words)], strict=True))
+
+
+def _binaries(values) -> pa.Array:
+    return pa.array([value.tobytes() for value in values], pa.binary())
+
+
+def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
+    """The arrays of a binary column one after another."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _counted(buckets: int):
+    """The words that training documents of a block have, and how often, by bucket."""
+
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                block = Block(row)
+                trained = ~block.held_out[block.document]
+                n = np.bincount(block.tokens[trained], minlength=len(block.vocabulary))
+                places = np.flatnonzero(n)
+                cuts = _cut(block.vocabulary[places], buckets)
+                spans = [places[first:end] for _, first, end in cuts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket for bucket, _, _ in cuts], pa.int32()),
+                        _binaries(block.vocabulary[span] for span in spans),
+                        _binaries(block.shared[span] for span in spans),
+                        _binaries(n[span].astype(np.int64) for span in spans),
+                    ],
+                    _names(_COUNTED),
+                )
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The most frequent words of a bucket and the end, then sums by shared class without a word."""
+    words, shared = _joined(table, "words", np.uint64), _joined(table, "shared", np.uint8)
+    words, first, places = np.unique(words, return_index=True, return_inverse=True)
+    shared = shared[first].astype(np.int32)
+    n = np.bincount(places, _joined(table, "n", np.int64)).astype(np.int64)
+    signed = words.view(np.int64)
+    top = np.lexsort((signed, -n))[:FREQUENT]
+    top = np.union1d(top, np.flatnonzero(words == END))
+    kinds = np.unique(shared)
+    nothing = [None] * len(top)
+    return pa.table(
+        {
+            "word": pa.array([*signed[top].tolist(), *[None] * len(kinds)], pa.int64()),
+            "shared": pa.array([*shared[top].tolist(), *kinds.tolist()], pa.int32()),
+            "n": pa.array(
+                [*n[top].tolist(), *(int(n[shared == kind].sum()) for kind in kinds)], pa.int64()
+            ),
+            "n_distinct": pa.array(
+                [*nothing, *(int((shared == kind).sum()) for kind in kinds)], pa.int64()
+            ),
+        }
+    )
+
+
+def _neighbours(place: np.ndarray, beside: np.ndarray, count: int, classes: int):
+    """For each of ``count`` words: how many classes are beside it, which, and how often."""
+    keys, n = np.unique(place * np.int64(classes) + beside, return_counts=True)
+    word = keys // classes
+    sizes = np.bincount(word, minlength=count).astype(np.uint8)
+    first = np.searchsorted(word, np.arange(count + 1))
+    return first, sizes, (keys % classes).astype(np.uint8), n.astype(np.uint32)
+
+
+def _told(found, a: int, b: int) -> bytes:
+    """What was found beside some words as bytes."""
+    first, sizes, classes, n = found
+    low, high = first[a], first[b]
+    planes = n[low:high].view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zlib.compress(sizes[a:b].tobytes() + classes[low:high].tobytes() + planes, 1)
+
+
+def _asked(frequent: np.ndarray, n_classes: int, buckets: int):
+    """Words by bucket, and for those of shared classes what is before and after in training."""
+
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                block = Block(row)
+                classes = block.classes(frequent)
+                cuts = _cut(block.vocabulary, buckets)
+                of_token = classes[block.tokens]
+                at = np.flatnonzero(
+                    (of_token >= len(frequent)) & ~block.held_out[block.document]
+                )
+                before = block.contexts(classes, n_classes)[at, 0]
+                # A word is never a text's last token, the end is.
+                after = of_token[at + 1]
+                columns = []
+                for beside in (before, after):
+                    found = _neighbours(
+                        block.tokens[at].astype(np.int64), beside, len(classes), n_classes + 1
+                    )
+                    columns.append(pa.array([_told(found, a, b) for _, a, b in cuts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["block"]] * len(cuts), pa.int64()),
+                        pa.array([bucket for bucket, _, _ in cuts], pa.int32()),
+                        _binaries(block.vocabulary[a:b] for _, a, b in cuts),
+                        _binaries(classes[a:b].astype(np.uint8) for _, a, b in cuts),
+                        *columns,
+                    ],
+                    _names(_ASKED),
+                )
+
+    return run
 
 
 class Model:
@@ -191,11 +331,21 @@ class Model:
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
         return np.einsum("bcw,cw->bw", self.seen[contexts], self.scale)
 
-    def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural logarithms, normalised over all classes."""
+    def log_probabilities(
+        self, contexts: np.ndarray, targets: np.ndarray, own=None, before=None, after=None
+    ) -> np.ndarray:
+        """Natural logarithms, normalised over all classes.
+
+        ``own`` has vectors of words as context, to multiply with the vectors ``after``
+        of all classes; ``before`` says which of them is before each target.
+        """
         result = np.empty(len(targets))
         for at in range(0, len(targets), BATCH):
-            scores = self.predicted(contexts[at : at + BATCH]) @ self.out.T + self.bias
+            hidden, out = self.predicted(contexts[at : at + BATCH]), self.out
+            if own is not None:
+                hidden = np.hstack([hidden, own[before[at : at + BATCH]]])
+                out = np.hstack([out, after])
+            scores = hidden @ out.T + self.bias
             scores -= scores.max(axis=1, keepdims=True)
             chosen = scores[np.arange(len(scores)), targets[at : at + BATCH]].astype(float)
             result[at : at + BATCH] = chosen - np.log(np.exp(scores).sum(axis=1, dtype=float))
@@ -257,18 +407,23 @@ def _add_rows(total: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
 
 
 def _trained(share: np.ndarray, values: np.ndarray, frequent: np.ndarray):
-    """One row per task: its model times its tokens, and its tokens."""
+    """One row per task: its model times its tokens, its tokens, and how often classes follow."""
 
     def run(batches):
         number = TaskContext.get().partitionId()
         trainer, n = Trainer(Model(share, values.copy()), seed=number), 0
+        follow = np.zeros((len(share) + 1) * len(share), np.int64)
         for batch in batches:
             for row in _rows(batch):
                 block = Block(row)
                 classes = block.classes(frequent)
                 keep = ~block.held_out[block.document]
                 contexts = block.contexts(classes, len(share))[keep]
-                trainer.learn(contexts, classes[block.tokens][keep])
+                targets = classes[block.tokens][keep]
+                trainer.learn(contexts, targets)
+                follow += np.bincount(
+                    contexts[:, 0] * np.int64(len(share)) + targets, minlength=len(follow)
+                )
                 n += int(keep.sum())
         if n:
             total = trainer.model.values.astype(float) * n
@@ -276,6 +431,7 @@ def _trained(share: np.ndarray, values: np.ndarray, frequent: np.ndarray):
                 {
                     "part": pa.array([number % 64], pa.int32()),
                     "total": pa.array([total.tobytes()], pa.binary()),
+                    "follow": pa.array([follow.tobytes()], pa.binary()),
                     "n": pa.array([n], pa.int64()),
                 }
             )
@@ -285,13 +441,20 @@ def _trained(share: np.ndarray, values: np.ndarray, frequent: np.ndarray):
 
 def _added(frame: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.frombuffer(value, float) for value in frame["total"])
+    follow = sum(np.frombuffer(value, np.int64) for value in frame["follow"])
     return pd.DataFrame(
-        {"part": frame["part"].iloc[:1], "total": [total.tobytes()], "n": [frame["n"].sum()]}
+        {
+            "part": frame["part"].iloc[:1],
+            "total": [total.tobytes()],
+            "follow": [follow.tobytes()],
+            "n": [frame["n"].sum()],
+        }
     )
 
 
-def _averaged(blocks: DataFrame, share, values, frequent) -> np.ndarray:
-    schema = "part int, total binary, n long"
+def _averaged(blocks: DataFrame, share, values, frequent) -> tuple[np.ndarray, np.ndarray]:
+    """The tasks' models as one, and how often a class (column) follows another (row)."""
+    schema = "part int, total binary, follow binary, n long"
     sums = (
         blocks.mapInArrow(_trained(share, values, frequent), schema)
         .groupBy("part")
@@ -299,32 +462,217 @@ def _averaged(blocks: DataFrame, share, values, frequent) -> np.ndarray:
         .collect()  # 64 rows at most
     )
     n = sum(row["n"] for row in sums)
+    follow = np.zeros((len(share) + 1, len(share)), np.int64)
     if not n:
-        return values
-    return (sum(np.frombuffer(row["total"], float) for row in sums) / n).astype(np.float32)
+        return values, follow
+    for row in sums:
+        follow += np.frombuffer(row["follow"], np.int64).reshape(follow.shape)
+    return (sum(np.frombuffer(row["total"], float) for row in sums) / n).astype(np.float32), follow
+
+
+def _spread(vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The vectors around their mean, turned and scaled to unit variance in every direction."""
+    p = (weights + 1) / (weights + 1).sum()
+    vectors = vectors.astype(float) - p @ vectors
+    sizes, turned = np.linalg.eigh(vectors.T @ (vectors * p[:, None]))
+    spread = vectors @ turned / np.sqrt(np.maximum(sizes, 1e-6 * sizes.max() + 1e-12))
+    return spread[:, -WORD_WIDTH:].astype(np.float32)
+
+
+class WordModel:
+    """What words of shared classes are trained and weighed with, beside their own vectors."""
+
+    def __init__(self, model: Model, n_frequent: int, follow, shared_n, shared_distinct):
+        #: Vectors of the classes before a word (the start is the last) and after it.
+        self.before = _spread(model.seen * model.scale[0], follow.sum(axis=1))
+        self.after = _spread(model.out, follow.sum(axis=0))
+        #: By shared class: counts of the classes before, shares of those after.
+        self.n_before = follow[:, n_frequent:].T.astype(float)
+        n_after = follow[n_frequent:-1] + model.share
+        self.share_after = n_after / n_after.sum(axis=1, keepdims=True)
+        #: Sum of the smoothed counts of a shared class and one unseen word.
+        self.smoothed = shared_n + shared_distinct + 1.0
+
+        # Of the words that occur once, all with the same neighbour in a class are alike.
+        kinds, classes = np.divmod(np.arange(self.n_before.size), self.n_before.shape[1])
+        once = np.zeros((len(kinds), len(self.before)))
+        once[np.arange(len(kinds)), classes] = 1
+        n = np.ones(len(kinds))
+        self.once_before = self.as_prediction(n, kinds, once).reshape(*self.n_before.shape, -1)
+        kinds, classes = np.divmod(np.arange(self.share_after.size), self.share_after.shape[1])
+        once = np.zeros((len(kinds), len(self.after)))
+        once[np.arange(len(kinds)), classes] = 1
+        self.once_after = self.as_context(n[: len(kinds)], kinds, once).reshape(
+            *self.share_after.shape, -1
+        )
+
+    def as_prediction(self, n: np.ndarray, kinds: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Vectors of words that occur ``n`` times, from counts of the classes before them."""
+        noise = ((n + 1) / self.smoothed[kinds])[:, None] * self.n_before[kinds]
+        return _in_bytes(_contrasted(before, NOISE * noise, self.before))
+
+    def as_context(self, n: np.ndarray, kinds: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Vectors of words that occur ``n`` times, from counts of the classes after them."""
+        noise = n[:, None] * self.share_after[kinds]
+        return _in_bytes(_contrasted(after, NOISE * noise, self.after))
+
+
+def _contrasted(real: np.ndarray, noise: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Vectors that tell counts of what is real from expected counts of noise, one of each row.
+
+    The odds of a column are the exponential of the product with its vector, by NOISE.
+    """
+    real, noise = real.astype(np.float32), noise.astype(np.float32)
+    result = np.zeros((len(real), vectors.shape[1]), np.float32)
+    squares = vectors * vectors
+    for _ in range(STEPS):
+        chance = 1 / (1 + NOISE * np.exp(-(result @ vectors.T)))
+        slope = (real - (real + noise) * chance) @ vectors - PRIOR * result
+        # The logistic curve is at its steepest for what is real, which may be far from fitted.
+        curve = real / 4 + noise * (chance * (1 - chance))
+        step = slope / (curve @ squares + PRIOR)
+        along = step @ vectors.T
+        length = (slope * step).sum(axis=1) / np.maximum(
+            (curve * along * along).sum(axis=1) + PRIOR * (step * step).sum(axis=1), 1e-30
+        )
+        # No odds change by more than a factor of seven in a step.
+        length = np.minimum(length, 2 / np.maximum(np.abs(along).max(axis=1), 1e-30))
+        result += length[:, None] * step
+    return result
+
+
+def _in_bytes(vectors: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(vectors * FINE), -127, 127).astype(np.int8)
+
+
+def _out_of_bytes(vectors: np.ndarray) -> np.ndarray:
+    return vectors.astype(np.float32) / FINE
+
+
+def _parsed(table: pa.Table, name: str, places: np.ndarray, slots: list[int]):
+    """Words, the classes beside them and how often, sorted by word."""
+    sizes, classes, n = [], [], []
+    for value, count in zip(table.column(name).to_pylist(), slots, strict=True):
+        data = np.frombuffer(zlib.decompress(value), np.uint8)
+        sizes.append(data[:count])
+        found = (len(data) - count) // 5
+        classes.append(data[count : count + found])
+        planes = data[count + found :].reshape(4, found)
+        n.append(np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1))
+    word = np.repeat(places, np.concatenate(sizes))
+    order = np.argsort(word, kind="stable")
+    return word[order], np.concatenate(classes)[order].astype(np.int64), np.concatenate(n)[order]
+
+
+def _dense(found, words: np.ndarray, columns: int) -> np.ndarray:
+    """Counts of the classes beside the words (sorted), one row each."""
+    word, beside, n = found
+    a, b = np.searchsorted(word, [words[0], words[-1] + 1])
+    row = np.searchsorted(words, word[a:b])
+    inside = words[row] == word[a:b]
+    keys = row[inside] * columns + beside[a:b][inside]
+    return np.bincount(keys, n[a:b][inside], len(words) * columns).reshape(len(words), columns)
+
+
+def _answered(words_model: WordModel, n_frequent: int):
+    """Counts and vectors of a bucket's words for each block, and the sums of their weights."""
+
+    def run(table: pa.Table) -> pa.Table:
+        slots = [len(value) for value in table.column("classes").to_pylist()]
+        words, first, places = np.unique(
+            _joined(table, "words", np.uint64), return_index=True, return_inverse=True
+        )
+        classes = _joined(table, "classes", np.uint8)[first]
+        kinds = np.maximum(classes.astype(np.int64) - n_frequent, 0)
+        before = _parsed(table, "before", places, slots)
+        after = _parsed(table, "after", places, slots)
+        n = np.bincount(before[0], before[2], len(words)).astype(np.int64)
+        as_prediction = np.zeros((len(words), WORD_WIDTH), np.int8)
+        as_context = np.zeros((len(words), WORD_WIDTH), np.int8)
+        for found, once, vectors in (
+            (before, words_model.once_before, as_prediction),
+            (after, words_model.once_after, as_context),
+        ):
+            alone = n[found[0]] == 1
+            word = found[0][alone]
+            vectors[word] = once[kinds[word], found[1][alone]]
+        often = np.flatnonzero(n > 1)
+        for at in range(0, len(often), _SOME_WORDS):
+            some = often[at : at + _SOME_WORDS]
+            beside = _dense(before, some, len(words_model.before))
+            as_prediction[some] = words_model.as_prediction(n[some], kinds[some], beside)
+            beside = _dense(after, some, len(words_model.after))
+            as_context[some] = words_model.as_context(n[some], kinds[some], beside)
+        weights = np.zeros(words_model.n_before.shape)
+        # Words that only held-out documents have keep vectors of zero and no weight.
+        known = np.flatnonzero(n)
+        for at in range(0, len(known), BATCH):
+            some = known[at : at + BATCH]
+            weight = np.exp(_out_of_bytes(as_prediction[some]) @ words_model.before.T)
+            of_kind = np.zeros((len(weights), len(some)))
+            of_kind[kinds[some], np.arange(len(some))] = n[some] + 1
+            weights += of_kind @ weight
+        answers = np.zeros(len(words), _ANSWER)
+        answers["class"], answers["n"] = classes, n
+        answers["before"], answers["after"] = as_prediction, as_context
+        ends = np.cumsum(slots)
+        told = [
+            _deflated(answers[places[end - count : end]])
+            for end, count in zip(ends.tolist(), slots, strict=True)
+        ]
+        return pa.table(
+            {
+                "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * (len(told) + 1), pa.int32()),
+                "answer": pa.array([*told, None], pa.binary()),
+                "weights": pa.array([*[None] * len(told), weights.tobytes()], pa.binary()),
+            }
+        )
+
+    return run
 
 
-def _scored(share, values, frequent, n_all, n_distinct, shared_n, shared_distinct):
+def _of_tokens(block: Block, answers, counts, model: Model, words_model: WordModel, log_weights):
+    """Natural logarithm of the probability of every token of a block."""
+    start, n_frequent = len(model.share), len(model.share) - SHARED
+    classes = answers["class"].astype(np.int16)
+    contexts = block.contexts(classes, start)
+    of_token = classes[block.tokens]
+    as_context = np.zeros((len(classes) + 1, WORD_WIDTH), np.float32)
+    as_context[:-1] = _out_of_bytes(answers["after"])
+    before = np.full(len(of_token), len(classes), np.int64)
+    before[1:] = block.tokens[:-1]
+    before[contexts[:, 0] == start] = len(classes)
+    score = model.log_probabilities(contexts, of_token, as_context, before, words_model.after)
+    as_prediction = np.ascontiguousarray(answers["before"])
+    smoothed = np.log(counts + 1.0)
+    shared = np.flatnonzero(of_token >= n_frequent)
+    for at in range(0, len(shared), BATCH):
+        some = shared[at : at + BATCH]
+        beside, word = contexts[some, 0], block.tokens[some]
+        vectors = _out_of_bytes(as_prediction[word])
+        score[some] += np.einsum("tw,tw->t", vectors, words_model.before[beside])
+        score[some] += smoothed[word]
+        score[some] -= log_weights[of_token[some] - n_frequent, beside]
+    return score
+
+
+def _scored(model: Model, words_model: WordModel, weights, class_n, n_distinct):
+    n_all, n_frequent = int(class_n.sum()), len(class_n) - SHARED
     base_sum = np.log10(n_all + n_distinct + 1)
-    shared_sum = np.log10(shared_n + shared_distinct + 1.0)
-    model = Model(share, values)
+    # One unseen word a class has the weight of a count of zero.
+    log_weights = np.log(weights + 1)
 
     def run(batches):
         for batch in batches:
             for row in _rows(batch):
                 block = Block(row)
-                counts = row["counts"].to_numpy() & ((1 << _COUNT_BITS) - 1)
-                classes = block.classes(frequent)
-                contexts = block.contexts(classes, len(share))
-                of_token = classes[block.tokens]
-                smoothed = np.log10(counts + 1.0)
-                inside = np.where(
-                    classes < len(frequent),
-                    0.0,
-                    smoothed - shared_sum[np.maximum(classes - len(frequent), 0)],
-                )
-                score = model.log_probabilities(contexts, of_token) / np.log(10)
-                score += inside[block.tokens]
+                # Buckets follow one another as the words of the vocabulary do.
+                answers = np.concatenate([_inflated(a.as_py(), _ANSWER) for a in row["answers"]])
+                counts, own = answers["n"].copy(), answers["class"] < n_frequent
+                counts[own] = class_n[answers["class"][own]]
+                score = _of_tokens(block, answers, counts, model, words_model, log_weights)
+                base = np.log10(counts + 1.0) - base_sum
                 first = np.cumsum(block.n_tokens) - block.n_tokens
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -333,68 +681,82 @@ def _scored(share, values, frequent, n_all, n_distinct, shared_n, shared_distinc
                         pa.array(block.n_tokens),
                         pa.array(np.add.reduceat((counts > 0)[block.tokens].astype(np.int64), first)),
                         pa.array(np.full(len(first), n_all, np.int64)),
-                        pa.array(np.add.reduceat((smoothed - base_sum)[block.tokens], first)),
-                        pa.array(np.add.reduceat(score, first)),
+                        pa.array(np.add.reduceat(base[block.tokens], first)),
+                        pa.array(np.add.reduceat(score / np.log(10), first)),
                     ],
-                    [field.split()[0] for field in _SCORES.split(",")],
+                    _names(_SCORES),
                 )
 
     return run
 
 
-def score_texts(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_texts(
+    documents: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_words: int = BUCKET_WORDS
+) -> DataFrame:
     """Base and model log10 probability of every document.
 
     Documents whose crc32 of the id as text leaves 2 when divided by 7 are held out.
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     held_out = (F.crc32(name.cast("binary")) % 7 == 2).alias("held_out")
-    blocks = written(
-        texts(documents, held_out).mapInArrow(_blocks(block_bytes, SHARED), _BLOCK)
-    )
-    asked = blocks.mapInArrow(_asked, _ASKED)
-    counts = written(
-        asked.groupBy("word").agg(F.sum("n").alias("n"), F.max("shared").alias("shared"))
+    with small_batches(documents.sparkSession):
+        blocks = written(
+            texts(documents, held_out).mapInArrow(_blocks(block_bytes, SHARED), _BLOCK)
+        )
+    n_words = blocks.agg(F.sum("n_distinct")).first()[0] or 0
+    buckets = max(8, -(-n_words // bucket_words))
+    summed = written(
+        blocks.mapInArrow(_counted(buckets), _COUNTED)
+        .repartition(buckets, "bucket")
+        .groupBy("bucket")
+        .applyInArrow(_summed, _SUMMED)
     )
     end = int(END.view(np.int64))
     top = (
-        counts.filter((F.col("n") > 0) & (F.col("word") != end))
+        summed.filter(F.col("word").isNotNull() & (F.col("word") != end))
         .orderBy(F.desc("n"), "word")
         .limit(FREQUENT - 1)
         .collect()
-    )
-    frequent = np.array([end, *(row["word"] for row in top)], np.int64).view(np.uint64)
+    ) + summed.filter(F.col("word") == end).collect()
+    frequent = np.array([*{end, *(row["word"] for row in top)}], np.int64).view(np.uint64)
     frequent = np.sort(frequent)
-    signed = frequent.view(np.int64).tolist()
-    own = F.col("word").isin(signed)
-    n_all = n_distinct = 0
-    class_n = np.zeros(len(frequent) + SHARED)
-    shared_distinct = np.zeros(SHARED)
-    kind = F.when(own, F.col("word")).otherwise(F.col("shared"))
-    known = counts.filter("n > 0").groupBy(own.alias("own"), kind.alias("kind"))
-    for row in known.agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
-        n_all += row["n"]
-        n_distinct += row["words"]
-        if row["own"]:
-            class_n[np.searchsorted(frequent, np.int64(row["kind"]).view(np.uint64))] = row["n"]
-        else:
-            class_n[len(frequent) + row["kind"]] = row["n"]
-            shared_distinct[row["kind"]] = row["words"]
+    class_n = np.zeros(len(frequent) + SHARED, np.int64)
+    shared_distinct = np.zeros(SHARED, np.int64)
+    for row in summed.filter("word is null").groupBy("shared").agg(
+        F.sum("n").alias("n"), F.sum("n_distinct").alias("n_distinct")
+    ).collect():
+        class_n[len(frequent) + row["shared"]] = row["n"]
+        shared_distinct[row["shared"]] = row["n_distinct"]
+    n_distinct = int(shared_distinct.sum())
+    for row in top:
+        class_n[np.searchsorted(frequent, np.int64(row["word"]).view(np.uint64))] = row["n"]
+        class_n[len(frequent) + row["shared"]] -= row["n"]
+        shared_distinct[row["shared"]] -= 1
     share = (class_n + 1) / (class_n + 1).sum()
 
     values = Model(share).values
     first = F.expr(f"pmod(xxhash64(block), {_FIRST_SHARE}) = 0")
+    follow = 0
     for some in (blocks.filter(first), blocks.filter(~first)):
-        values = _averaged(some, share, values, frequent)
-
-    packed = F.shiftleft(F.col("slot").cast("long"), _COUNT_BITS) + F.col("n")
-    answers = (
-        asked.select("block", "slot", "word")
-        .join(counts.select("word", "n"), "word")
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(packed)).alias("counts"))
+        values, more = _averaged(some, share, values, frequent)
+        follow = follow + more
+    model = Model(share, values)
+    words_model = WordModel(
+        model, len(frequent), follow, class_n[len(frequent) :], shared_distinct
+    )
+
+    answered = written(
+        blocks.mapInArrow(_asked(frequent, len(share), buckets), _ASKED)
+        .repartition(buckets, "bucket")
+        .groupBy("bucket")
+        .applyInArrow(_answered(words_model, len(frequent)), _ANSWERED)
+    )
+    weights = array_sum(
+        answered.filter("block is null"), "weights", np.zeros(words_model.n_before.shape)
     )
-    scored = _scored(
-        share, values, frequent, n_all, n_distinct, class_n[len(frequent) :], shared_distinct
+    told = F.sort_array(F.collect_list(F.struct("bucket", "answer")))["answer"]
+    answers = answered.filter("block is not null").groupBy("block").agg(told.alias("answers"))
+    scored = _scored(model, words_model, weights, class_n, n_distinct)
+    return (
+        blocks.drop("vocabulary", "shared").join(answers, "block").mapInArrow(scored, _SCORES)
     )
-    return blocks.join(answers, "block").mapInArrow(scored, _SCORES)
