@@ -55,13 +55,13 @@ RATE = 0.1
 BLOCK_BYTES = 4 << 20
 END = np.uint64(0x0E5D_0F7E_87AB_CDEF)
 _FIRST_SHARE = 4
-#: Words of blocks in a bucket, about, and words trained at a time.
+#: Words of blocks in a bucket, about, and words trained or tokens scored at a time.
 BUCKET_WORDS = 400_000
-_SOME_WORDS = 512
+_SOME = 512
 #: Numbers in a word's own vectors, steps towards them, the weight that holds them at zero,
 #: and the parts of one in which they are kept.
 WORD_WIDTH = 16
-STEPS = 6
+STEPS = 5
 PRIOR = 10.0
 FINE = 8
 #: What a bucket tells a block of each of its words.
@@ -328,9 +328,6 @@ class Model:
         self.seen, self.out = seen.reshape(n + 1, WIDTH), out.reshape(n, WIDTH)
         self.scale = scale.reshape(CONTEXT, WIDTH)
 
-    def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        return np.einsum("bcw,cw->bw", self.seen[contexts], self.scale)
-
     def log_probabilities(
         self, contexts: np.ndarray, targets: np.ndarray, own=None, before=None, after=None
     ) -> np.ndarray:
@@ -340,15 +337,22 @@ class Model:
         of all classes; ``before`` says which of them is before each target.
         """
         result = np.empty(len(targets))
-        for at in range(0, len(targets), BATCH):
-            hidden, out = self.predicted(contexts[at : at + BATCH]), self.out
+        nearest_first = [self.seen * scale for scale in self.scale]
+        out = self.out if own is None else np.hstack([self.out, after])
+        ones = np.ones(len(out), np.float32)
+        for at in range(0, len(targets), _SOME):
+            some = slice(at, at + _SOME)
+            hidden = sum(
+                vectors[classes] for vectors, classes in zip(nearest_first, contexts[some].T, strict=True)
+            )
             if own is not None:
-                hidden = np.hstack([hidden, own[before[at : at + BATCH]]])
-                out = np.hstack([out, after])
-            scores = hidden @ out.T + self.bias
+                hidden = np.hstack([hidden, own[before[some]]])
+            scores = hidden @ out.T
+            scores += self.bias
             scores -= scores.max(axis=1, keepdims=True)
-            chosen = scores[np.arange(len(scores)), targets[at : at + BATCH]].astype(float)
-            result[at : at + BATCH] = chosen - np.log(np.exp(scores).sum(axis=1, dtype=float))
+            chosen = scores[np.arange(len(scores)), targets[some]].astype(float)
+            np.exp(scores, out=scores)
+            result[some] = chosen - np.log((scores @ ones).astype(float))
         return result
 
 
@@ -523,21 +527,30 @@ def _contrasted(real: np.ndarray, noise: np.ndarray, vectors: np.ndarray) -> np.
     The odds of a column are the exponential of the product with its vector, by NOISE.
     """
     real, noise = real.astype(np.float32), noise.astype(np.float32)
+    both, steepest = real + noise, real / 4
     result = np.zeros((len(real), vectors.shape[1]), np.float32)
     squares = vectors * vectors
+    products = result @ vectors.T
     for _ in range(STEPS):
-        chance = 1 / (1 + NOISE * np.exp(-(result @ vectors.T)))
-        slope = (real - (real + noise) * chance) @ vectors - PRIOR * result
+        chance = np.exp(-products)
+        chance *= NOISE
+        chance += 1
+        np.reciprocal(chance, out=chance)
+        slope = (real - both * chance) @ vectors - PRIOR * result
         # The logistic curve is at its steepest for what is real, which may be far from fitted.
-        curve = real / 4 + noise * (chance * (1 - chance))
+        curve = chance * (1 - chance)
+        curve *= noise
+        curve += steepest
         step = slope / (curve @ squares + PRIOR)
         along = step @ vectors.T
         length = (slope * step).sum(axis=1) / np.maximum(
-            (curve * along * along).sum(axis=1) + PRIOR * (step * step).sum(axis=1), 1e-30
+            np.einsum("bc,bc->b", curve, along * along) + PRIOR * (step * step).sum(axis=1), 1e-30
         )
         # No odds change by more than a factor of seven in a step.
         length = np.minimum(length, 2 / np.maximum(np.abs(along).max(axis=1), 1e-30))
         result += length[:, None] * step
+        along *= length[:, None]
+        products += along
     return result
 
 
@@ -597,8 +610,8 @@ def _answered(words_model: WordModel, n_frequent: int):
             word = found[0][alone]
             vectors[word] = once[kinds[word], found[1][alone]]
         often = np.flatnonzero(n > 1)
-        for at in range(0, len(often), _SOME_WORDS):
-            some = often[at : at + _SOME_WORDS]
+        for at in range(0, len(often), _SOME):
+            some = often[at : at + _SOME]
             beside = _dense(before, some, len(words_model.before))
             as_prediction[some] = words_model.as_prediction(n[some], kinds[some], beside)
             beside = _dense(after, some, len(words_model.after))
